@@ -64,9 +64,14 @@ def in_range(column: str, precision: int, scale: int) -> Rule:
 
 
 def flag_broken(df: DataFrame, rules: Sequence[Rule], name: str = BROKEN) -> DataFrame:
-    """Add the array of the names of the rules each row breaks; empty for a good row."""
+    """Add the array of the names of the rules each row breaks; empty for a good row.
+
+    The flags are computed once per row and then only read. Without the always-true ``rand``
+    condition the optimizer would move a filter on them below this projection, written out
+    as every rule over every parsed text, and multiply that while it infers constraints.
+    """
     hits = F.array(*[F.when(r.column(), F.lit(r.name)) for r in rules])
-    return df.withColumn(name, F.array_compact(hits))
+    return df.withColumn(name, F.when(F.rand(0) < 2, F.array_compact(hits)))
 
 
 def split_broken(flagged: DataFrame, name: str = BROKEN) -> tuple[DataFrame, DataFrame]:

@@ -69,4 +69,5 @@ def inclusive_days(start: Column | str, end: Column | str) -> Column:
 def fit_length(col: Column | str, length: int) -> Column:
     """Text cut to ``length`` when only spaces exceed it, as SQL VARCHAR columns store it."""
     text = _column(col)
-    return F.when(F.length(text) > length, F.substring(text, 1, length)).otherwise(text)
+    too_long = (F.octet_length(text) > length) & (F.length(text) > length)
+    return F.when(too_long, F.substring(text, 1, length)).otherwise(text)

@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tripledger.functions.parse import blank_to_null
-
 BROKEN = "regras_quebradas"
 STOPPED = "broken rules: "
 
@@ -47,14 +45,16 @@ def non_negative(column: str) -> Rule:
 
 
 def max_length(column: str, length: int) -> Rule:
-    """Spaces at the end do not count against the length."""
-    return Rule(f"tamanho:{column}", lambda: F.length(F.rtrim(F.col(column))) > length)
+    """Spaces at the end do not count against the length. Characters are only counted where
+    there are more bytes than that."""
+    return Rule(f"tamanho:{column}", lambda: (F.octet_length(column) > length)
+                & (F.length(F.rtrim(F.col(column))) > length))
 
 
 def parsed(text: str, value: str) -> Rule:
     """The text is not blank, yet gave no value: bad text, or a number out of range."""
     return Rule(f"texto_valido:{value}",
-                lambda: blank_to_null(text).isNotNull() & F.col(value).isNull())
+                lambda: F.col(value).isNull() & (F.trim(F.col(text)) != ""))
 
 
 def in_range(column: str, precision: int, scale: int) -> Rule:
@@ -70,8 +70,11 @@ def flag_broken(df: DataFrame, rules: Sequence[Rule], name: str = BROKEN) -> Dat
     condition the optimizer would move a filter on them below this projection, written out
     as every rule over every parsed text, and multiply that while it infers constraints.
     """
-    hits = F.array(*[F.when(r.column(), F.lit(r.name)) for r in rules])
-    return df.withColumn(name, F.when(F.rand(0) < 2, F.array_compact(hits)))
+    hits = F.array_compact(F.array(*[F.when(r.column(), F.lit(r.name)) for r in rules]))
+    any_broken = reduce(lambda a, b: a | b, [r.column() for r in rules])
+    # The names are put together for bad rows only.
+    flags = F.when(any_broken, hits).otherwise(F.array().cast("array<string>"))
+    return df.withColumn(name, F.when(F.rand(0) < 2, flags))
 
 
 def split_broken(flagged: DataFrame, name: str = BROKEN) -> tuple[DataFrame, DataFrame]:

@@ -264,43 +264,48 @@ def _good(flagged: DataFrame, table: str) -> DataFrame:
     return good.select(*[f.name for f in silver.SILVER[table].fields if f.name in good.columns])
 
 
-def _landed(raw: DataFrame) -> DataFrame:
-    """Raw text as the load leaves it: in a table, with the ordinal of each row."""
-    return op.add_dense_id(raw, silver.ORDINAL, roles.LINE_ORDER).drop(*roles.LINE_ORDER)
+def _stored(raw: DataFrame) -> DataFrame:
+    """Raw text in a table, as a load leaves it: text is made once, however often it is read."""
+    return Staging(raw.sparkSession).put(raw, "raw")
+
+
+def _numbered(raw: DataFrame) -> DataFrame:
+    """Raw text in a table, with the ordinal of each row."""
+    return op.add_dense_id(_stored(raw), silver.ORDINAL, roles.LINE_ORDER).drop(*roles.LINE_ORDER)
 
 
 @_query
 def silver_trip(t):
-    return _good(silver.flagged(_landed(roles.raw_trips(t)), "silver_viagem"), "silver_viagem")
+    return _good(silver.flagged(_numbered(roles.raw_trips(t)), "silver_viagem"), "silver_viagem")
 
 
 @_query
 def silver_trip_quarantine(t):
-    rows = silver.flagged(_landed(roles.raw_trips(t)), "silver_viagem")
+    rows = silver.flagged(_numbered(roles.raw_trips(t)), "silver_viagem")
     return op.split_broken(rows)[1].select("id_viagem", "num_proposta", "regras_quebradas")
 
 
 @_query
 def silver_payment(t):
-    return _good(silver.flagged_child(roles.raw_payments(t), "silver_pagamento",
+    return _good(silver.flagged_child(_stored(roles.raw_payments(t)), "silver_pagamento",
                                       roles.closed_orders(t), (), None), "silver_pagamento")
 
 
 @_query
 def silver_ticket(t):
-    return _good(silver.flagged_child(roles.raw_tickets(t), "silver_passagem",
+    return _good(silver.flagged_child(_stored(roles.raw_tickets(t)), "silver_passagem",
                                       roles.closed_orders(t), (), None), "silver_passagem")
 
 
 @_query
 def silver_segment(t):
-    return _good(silver.flagged_child(_landed(roles.raw_segments(t)), "silver_trecho",
+    return _good(silver.flagged_child(_numbered(roles.raw_segments(t)), "silver_trecho",
                                       roles.closed_orders(t)), "silver_trecho")
 
 
 @_query
 def silver_payment_violations(t):
-    return silver.silver_violations(roles.raw_payments(t), "silver_pagamento",
+    return silver.silver_violations(_stored(roles.raw_payments(t)), "silver_pagamento",
                                     roles.closed_orders(t))
 
 

@@ -50,18 +50,23 @@ def bodies(t: Tables) -> DataFrame:
 
 def trips(t: Tables) -> DataFrame:
     """One row per order; its days run from the order to its last shipment. Open orders
-    (status O) cost nothing, and orders without lines have no days."""
-    last = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+    (status O) cost nothing, and orders without lines have no days.
+
+    The join on the trip comes last: the joins of payments and segments then find the rows
+    where they are.
+    """
+    last = t.lineitem.groupBy(text("l_orderkey").alias("id_viagem")).agg(
         F.max("l_shipdate").alias("_last"))
     cost = F.when(F.col("o_orderstatus") == "O", F.lit(0)).otherwise(F.col("o_totalprice"))
-    return (
-        t.orders.join(last, "o_orderkey", "left").join(bodies(t), "o_custkey").select(
-            text("o_orderkey").alias("id_viagem"), "cod_orgao_superior", "nome_orgao_superior",
-            F.lower(F.replace("c_name", F.lit("#"), F.lit("-no"))).alias("nome_viajante"),
-            F.concat(F.lit(" "), F.col("n_name"), F.lit(", "), F.col("o_orderpriority")).alias(
-                "destinos"),
-            cost.cast("decimal(12,2)").alias("valor_total"),
-            (F.datediff("_last", "o_orderdate") + 1).alias("duracao_dias")))
+    orders = t.orders.join(bodies(t), "o_custkey").select(
+        text("o_orderkey").alias("id_viagem"), "cod_orgao_superior", "nome_orgao_superior",
+        F.lower(F.replace("c_name", F.lit("#"), F.lit("-no"))).alias("nome_viajante"),
+        F.concat(F.lit(" "), F.col("n_name"), F.lit(", "), F.col("o_orderpriority")).alias(
+            "destinos"),
+        cost.cast("decimal(12,2)").alias("valor_total"), "o_orderdate")
+    return orders.join(last, "id_viagem", "left").select(
+        *[c for c in orders.columns if c != "o_orderdate"],
+        (F.datediff("_last", "o_orderdate") + 1).alias("duracao_dias"))
 
 
 def body_costs(t: Tables) -> DataFrame:

@@ -24,6 +24,12 @@ class RuleViolation(Exception):
         super().__init__(f"{table}: {listed or detail.strip()}")
 
 
+def stopped_by(error: Exception) -> str:
+    """The rules that made ``guarded`` stop a query; empty for any other error."""
+    _, found, rules = str(error).partition(STOPPED)
+    return rules.splitlines()[0] if found else ""
+
+
 @dataclass(frozen=True)
 class Rule:
     """A named predicate that is true for a row that breaks the rule; NULL counts as kept."""

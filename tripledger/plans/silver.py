@@ -20,7 +20,6 @@ from tripledger.operators.numbering import add_dense_id
 from tripledger.operators.parents import orphans, with_parent
 from tripledger.operators.quality import (
     BROKEN,
-    STOPPED,
     Rule,
     RuleViolation,
     flag_broken,
@@ -32,6 +31,7 @@ from tripledger.operators.quality import (
     parsed,
     rule_summary,
     split_broken,
+    stopped_by,
 )
 from tripledger.schemas import (
     COMPUTED,
@@ -167,8 +167,8 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
         except Exception as error:
             for name in new.values():
                 spark.sql(f"DROP TABLE IF EXISTS {table_name(database, name)}")
-            if STOPPED in str(error):
-                raise RuleViolation(table, detail=str(error).split(STOPPED)[1]) from error
+            if stopped_by(error):
+                raise RuleViolation(table, detail=stopped_by(error)) from error
             raise
 
     with Staging(spark) as staging:

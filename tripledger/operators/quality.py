@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 BROKEN = "regras_quebradas"
 STOPPED = "broken rules: "
@@ -64,9 +63,9 @@ def parsed(text: str, value: str) -> Rule:
 
 
 def in_range(column: str, precision: int, scale: int) -> Rule:
-    fits = DecimalType(precision, scale)
+    """The value, rounded to ``scale``, has more digits than ``decimal(precision, scale)``."""
     return Rule(f"faixa:{column}",
-                lambda: F.col(column).isNotNull() & F.col(column).try_cast(fits).isNull())
+                lambda: F.abs(F.round(F.col(column), scale)) >= 10 ** (precision - scale))
 
 
 def flag_broken(df: DataFrame, rules: Sequence[Rule], name: str = BROKEN) -> DataFrame:

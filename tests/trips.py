@@ -2,7 +2,6 @@
 
 from tripledger.schemas import FILES, HEADERS
 
-_EMPTY = object()
 
 
 def _line(values):

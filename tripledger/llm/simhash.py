@@ -86,7 +86,7 @@ def forest(fps: np.ndarray, radius: int, depth: int = 0) -> list[tuple[np.ndarra
     if len(fps) > PAIRWISE and depth < 8:
         edges = []
         for mask in masks(radius, seed=1000 + depth):
-            keys = fps & np.int64(mask)
+            keys = fps & np.uint64(mask & (1 << 64) - 1)
             order = np.argsort(keys, kind="stable")
             cuts = np.flatnonzero(np.diff(keys[order])) + 1
             if len(cuts) == 0:  # the mask tells nothing apart here
@@ -134,13 +134,15 @@ def links(fps: DataFrame, radius: int = 4, seed: int = 7) -> DataFrame:
                 edges.append((fp[pairs[near]], fp[pairs[near] + 1]))
                 for k in np.flatnonzero(sizes > 2):
                     edges += forest(fp[bounds[k]:bounds[k + 1]], radius)
-            a = np.concatenate([e[0] for e in edges]) if edges else np.empty(0, np.int64)
-            b = np.concatenate([e[1] for e in edges]) if edges else np.empty(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            a = np.concatenate([e[0] for e in edges]) if edges else np.empty(0, np.uint64)
+            b = np.concatenate([e[1] for e in edges]) if edges else np.empty(0, np.uint64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
             bucket = batch.column("bucket").to_numpy(zero_copy_only=False)
-            held.append((bucket, batch.column("fp").to_numpy(zero_copy_only=False)))
+            fp = batch.column("fp").to_numpy(zero_copy_only=False)
+            held.append((bucket, fp.view(np.uint64)))  # NumPy counts the bits of unsigned numbers
             if len(bucket) and held[0][0][0] != bucket[-1]:  # only the last bucket may go on
                 bucket, fp = (np.concatenate(x) for x in zip(*held))
                 at = np.searchsorted(bucket, bucket[-1])

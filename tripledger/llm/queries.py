@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.llm import dedup, mixing, simhash, urlfilter
+from tripledger.llm import dedup, licenses, mixing, pii, simhash, urlfilter
 from tripledger.llm.common import stage, table
 from tripledger.llm.oracle import ORACLE
 
@@ -25,6 +25,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_REGISTRY)
 
 
+@_query
+def op3_personal_data(spark, folder):
+    """All spans of every text; the four base kinds are counted and hashed."""
+    found = pii.find(table(spark, folder, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("found", lambda s: s["kind"].isin(*pii.ALWAYS))
+
+    def count(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.ALWAYS), F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"),
+                        joined(F.col("found")).alias("spans"))
+
+
 @_query
 def op4_exact_dedup(spark, folder):
     """One row per document, the largest doc_id of equal texts stays."""
@@ -59,5 +75,14 @@ def op9_source_mix(spark, folder):
                         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@_query
+def op10_license_scan(spark, folder):
+    """Words, base phrases and all labels of every text."""
+    return licenses.scan(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"),
+        "score")
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, sql in ORACLE.items() if name in _REGISTRY}

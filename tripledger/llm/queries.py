@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.llm import dedup, licenses, mixing, pii, simhash, urlfilter
+from tripledger.llm import dedup, licenses, mixing, pii, simhash, urlfilter, warc
 from tripledger.llm.common import stage, table
 from tripledger.llm.oracle import ORACLE
 
@@ -25,6 +25,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_REGISTRY)
 
 
+@_query
+def op1_warc(spark, folder):
+    """A record per page, written to archives in the shared folder and read back."""
+    warc.register(spark)
+    path = stage(spark).path("warc")
+    warc.page_records(table(spark, folder, "pages")).write.format("warc").mode("append").save(path)
+    return warc.read_pages(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_query
 def op3_personal_data(spark, folder):
     """All spans of every text; the four base kinds are counted and hashed."""

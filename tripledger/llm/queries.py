@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.llm import dedup, licenses, mixing, pii, simhash, urlfilter, warc
+from tripledger.llm import dedup, langid, licenses, mixing, pii, simhash, urlfilter, warc
 from tripledger.llm.common import stage, table
 from tripledger.llm.oracle import ORACLE
 
@@ -57,6 +57,13 @@ def op4_exact_dedup(spark, folder):
     return dedup.marked(table(spark, folder, "documents"), largest=True)
 
 
+@_query
+def op6_language_id(spark, folder):
+    """The language of every document, from its text, its declared one and its source."""
+    found = langid.documents(table(spark, folder, "documents"), stage(spark))
+    return found.select("doc_id", "declared", "language", F.round("confidence", 6).alias("confidence"), "kept")
+
+
 @_query
 def op7_url_filter(spark, folder):
     """Every page's url against the rules and a list. The tables hold no list; it is made of the

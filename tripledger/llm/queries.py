@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.llm import dedup, langid, licenses, mixing, pii, simhash, urlfilter, warc
+from tripledger.llm import decontam, dedup, langid, licenses, mixing, pii, simhash, urlfilter, warc
 from tripledger.llm.common import stage, table
 from tripledger.llm.oracle import ORACLE
 
@@ -57,6 +57,14 @@ def op4_exact_dedup(spark, folder):
     return dedup.marked(table(spark, folder, "documents"), largest=True)
 
 
+@_query
+def op5_decontamination(spark, folder):
+    """Every pair of a document and a benchmark item that it holds, up to a fifth of its words."""
+    found = decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"),
+                                  stage(spark))
+    return found.select("doc_id", "item_id").distinct()
+
+
 @_query
 def op6_language_id(spark, folder):
     """The language of every document, from its text, its declared one and its source."""

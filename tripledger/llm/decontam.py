@@ -39,29 +39,36 @@ def _pairs(tokens: np.ndarray) -> np.ndarray:
 
 
 def embed(rows: np.ndarray, sizes: np.ndarray, steps: int, walk: int) -> np.ndarray:
-    """CGK embedding of each row's first ``sizes`` words; past the end it writes zeros."""
+    """CGK embedding of each row's first ``sizes`` words; past the end it writes zeros. A word's
+    random bits for 64 steps are those of one hash."""
     out = np.zeros((steps, len(rows)), np.uint64)
-    padded = np.concatenate([rows, np.zeros((len(rows), 1), np.uint64)], axis=1)
-    at, every = np.zeros(len(rows), np.int64), np.arange(len(rows))
+    width = rows.shape[1] + 1
+    padded = np.concatenate([rows, np.zeros((len(rows), 1), np.uint64)], axis=1).ravel()
+    first = np.arange(len(rows)) * width
+    at, end = first.copy(), first + sizes
     for j in range(steps):
-        out[j] = padded[every, np.minimum(at, sizes)]
-        coin = mixed(out[j] + np.uint64((walk << 32) + j + 1)) & np.uint64(1)
-        at = np.minimum(at + coin.astype(np.int64), sizes)
+        if j % 64 == 0:
+            bits = mixed(padded + np.uint64((walk << 32) + j + 1))
+        out[j] = padded[at]
+        at += (bits[at] >> np.uint64(j % 64) & np.uint64(1)).astype(np.int64)
+        np.minimum(at, end, out=at)
     return out
 
 
 def signatures(rows: np.ndarray, sizes: np.ndarray, length: int, walks: int, tables: int, picks: int
                ) -> np.ndarray:
-    """``walks`` * ``tables`` signatures a row: hashes of the embedding at sampled places."""
-    steps, found = 3 * length, []
+    """``walks`` * ``tables`` signatures a row: hashes of the embedding at sampled places. A walk
+    of 2 * ``length`` steps has passed most of the words, so later places tell little."""
+    found = []
     for walk in range(walks):
-        embedding = embed(rows, sizes, steps, walk)
+        embedding = embed(rows, sizes, 2 * length, walk)
         draw = np.random.default_rng((length, walk))
         for table in range(tables):
             key = np.full(len(rows), walk * tables + table + 1, np.uint64)
-            for place in draw.integers(0, 2 * length, picks):  # the walk is past the end later on
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + embedding[place])
-            found.append(key)
+            for place in draw.integers(0, 2 * length, picks):
+                key = key * np.uint64(0x9E3779B97F4A7C15) + embedding[place]
+                key ^= key >> np.uint64(29)
+            found.append(mixed(key))
     return np.stack(found, axis=1)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripledger.llm import decontam, dedup, langid, licenses, mixing, pii, simhash, urlfilter, warc
 from tripledger.llm.common import stage, table
 from tripledger.llm.oracle import ORACLE
@@ -109,5 +110,11 @@ def op10_license_scan(spark, folder):
         "score")
 
 
+@_query
+def pipeline(spark, folder):
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, folder)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, sql in ORACLE.items() if name in _REGISTRY}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripledger.llm import decontam, dedup, langid, licenses, mixing, pii, simhash, urlfilter, warc
+from tripledger.llm import decontam, dedup, langid, licenses, mixing, pii, simhash, trie_lm, urlfilter, warc
 from tripledger.llm.common import stage, table
 from tripledger.llm.oracle import ORACLE
 
@@ -36,6 +36,14 @@ def op1_warc(spark, folder):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@_query
+def op2_lm_score(spark, folder):
+    """Every text under the trigram model of four fifths of them."""
+    docs = table(spark, folder, "documents")
+    levels = trie_lm.learn(docs.where(~trie_lm.held_out(F.col("doc_id"))), stage(spark))
+    return trie_lm.score(docs, levels)
+
+
 @_query
 def op3_personal_data(spark, folder):
     """All spans of every text; the four base kinds are counted and hashed."""

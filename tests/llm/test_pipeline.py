@@ -1,0 +1,65 @@
+import importlib
+import subprocess
+import sys
+from pathlib import Path
+
+import brute
+import pytest
+from samples import SCHEMA, docs, none, rows, staging  # noqa: F401
+
+import corpus_pipeline
+from tripledger.llm import queries as llm
+
+ROOT = Path(__file__).resolve().parents[2]
+
+
+@pytest.fixture
+def folder(spark, tmp_path, rows):
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    items = [(1, " ".join(rows[8][1].split()[:20])), (2, "nothing like this is in any of them")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return str(tmp_path)
+
+
+def test_stages_against_brute_force(spark, folder, rows):
+    """What goes at each stage is worked out from the rows that the stage before left."""
+    kept = [r for r in rows if len((r[1] or "").strip()) > 2]
+    last = {}
+    for r in kept:
+        if r[1] not in last or (last[r[1]][0] is None, -(last[r[1]][0] or 0)) > (r[0] is None, -(r[0] or 0)):
+            last[r[1]] = r
+    kept = list(last.values())
+    fps = [brute.simhash(r[1]) for r in kept]
+    groups = brute.components([r[0] for r in kept], lambda i, j: bin(fps[i] ^ fps[j]).count("1") <= 4)
+    kept = [r for r, g in zip(kept, groups) if r[0] == g]
+    kept = [r for r in kept if r[0] != 8]  # the one with the benchmark passage
+    found = corpus_pipeline.run(spark, folder)
+    assert found.columns == [*spark.read.parquet(f"{folder}/documents.parquet").columns, "copies", "target"]
+    got = found.collect()
+    assert {r.doc_id for r in got} <= {r[0] for r in kept} and len(got) == len({r.doc_id for r in got})
+    assert len(got) >= 0.4 * len(kept)
+    words = {r[0]: len(brute.words_of(r[1])) for r in kept}
+    assert abs(sum(words[r.doc_id] * r.copies for r in got) - 1.5 * sum(words.values())) <= 2 * max(words.values())
+
+
+def test_stages_return_the_columns_of_documents(docs, none, spark, folder):
+    for name, function in corpus_pipeline.STAGES:
+        out = function(spark, none, folder)
+        assert out.count() == 0 and set(docs.columns) <= set(out.columns)
+        assert out.columns == docs.columns or name == "source_mix"
+
+
+def test_registered_names():
+    names = list(llm.queries())
+    assert [n for n in names if n == "pipeline"] and {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 11)}
+    assert set(llm.oracle_sql()) <= set(names)
+    assert importlib.import_module("__spark_entry__").queries().keys() >= set(names)
+
+
+def test_the_library_does_not_need_this_package():
+    code = ("import sys; sys.modules['tripledger.llm'] = None\n"
+            "try:\n    import __spark_entry__ as e\nexcept ImportError as x:\n    assert 'tripledger.llm' in str(x)\n")
+    assert subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True).returncode == 0
+    for path in (ROOT / "tripledger").rglob("*.py"):
+        if "llm" not in path.parts:
+            assert "tripledger.llm" not in path.read_text() and "corpus_pipeline" not in path.read_text(), path

@@ -1,0 +1,85 @@
+"""Personal data and license scans against plain Python."""
+
+import brute
+import pytest
+from samples import SCHEMA, docs, none, rows, staging  # noqa: F401
+from pyspark.sql import functions as F
+
+from tripledger.llm import licenses, pii
+from tripledger.llm.queries import queries
+from tripledger.llm.spans import sums_before
+
+TEXTS = [
+    None, "", "a@b.c_x@y.zz, a@b a@b..c .@x.y", "1.2.3.4.5.6.7.8 999.1.1.1 0001.2.3.255 1.2.3.", "7" * 5000 + " 4111 1111-1111 1111",
+    "4111  1111111111111111", "é😀 4111111111111111 +1 (394) 555-4006. +12 34 +1 ()()()5+4915112345678", "+1(2-3)4.5 6 78901234567890",
+    "x" * 40000 + "@" + "y" * 100 + ".com", "IBAN GB82 WEST 1234 5698 7654 32 and GB83 WEST 1234 5698 7654 32",
+    "my ssn is 123-45-6789 but 123-45-6780", "token = 681c09b8e90e7e8c9575180f595f646cf681c09b8 ", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7",
+    "-".join(["12"] * 4000), "+" * 3000 + "1" + " " * 3000,
+]
+
+
+def test_base_spans_are_those_of_the_plain_expressions(spark):
+    docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in enumerate(TEXTS)], SCHEMA)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.found] for r in pii.find(docs).collect()}
+    for k, text in enumerate(TEXTS):
+        assert [s for s in found[k] if s[0] in pii.ALWAYS] == brute.pii(text), k
+    kinds = {k: {s[0] for s in found[k]} for k in found}
+    assert "iban" in kinds[9] and [s for s in found[9] if s[0] == "iban"] == [("iban", 5, 32)]
+    assert "ssn" in kinds[10] and "ssn" not in kinds[13]
+
+
+def test_context_decides_on_kinds_that_need_it(spark):
+    texts = ["deadbeef00" * 4, "secret key deadbeef00" + "deadbeef00" * 3, "commit token " + "deadbeef00" * 4]
+    docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in enumerate(texts)], SCHEMA)
+    found = {r.doc_id: [(s.kind, round(s.score, 2)) for s in r.found if s.kind == "secret"] for r in pii.find(docs).collect()}
+    assert found == {0: [], 1: [("secret", 0.65)], 2: []}
+
+
+@pytest.mark.parametrize("size", [0, 1, 255, 256, 257, 3000])
+def test_sums_of_long_arrays(spark, size):
+    row = spark.range(1).select(F.array_compact(F.array(F.lit(None).cast("int"))).alias("n")) if not size else \
+        spark.range(1).select(F.sequence(F.lit(1), F.lit(size)).alias("n"))
+    got = row.select(sums_before(F.col("n")).alias("s")).first().s
+    assert got == [k * (k + 1) // 2 for k in range(size)]
+
+
+LICENSES = [
+    None, "", "...", "CC BY", "cc-by 4.0. All Rights  Reserved, all rights reserved all rights reserved!", "ccby xcc by cc byx",
+    "the GNU General Public License, version 3. general public\nlicense", "Kcc by", "all rights reservé", "éall rights reserved",
+    "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0.",
+    "cc by " * 3000, "word " * 20000 + "cc by",
+]
+
+
+def test_base_phrases_are_those_of_the_words(spark):
+    docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in enumerate(LICENSES)], SCHEMA)
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    for k, text in enumerate(LICENSES):
+        r = found[k]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, ",".join(r.base_labels)) == brute.license_base(text), k
+        assert 0 <= r.score <= 1 and set(r.base_labels) <= set(r.labels) == set(r.base_labels) | {d.label for d in r.detections}
+    assert found[10].labels == ["apache-2.0"] and found[11].labels == ["mit"] and found[12].labels == ["cc-by", "cc-by-nc"]
+    assert found[0].score == found[2].score == 0
+
+
+def test_what_lies_inside_a_detection_of_its_priority_is_dropped(spark):
+    text = "licensed under the gnu general public license version 3 or later"
+    (r,) = licenses.scan(spark.createDataFrame([(1, text, "en", "a", 0)], SCHEMA)).collect()
+    assert [(d.start, d.end, d.label) for d in r.detections] == [(0, 9, "gpl-3")]
+
+
+def test_there_are_hundreds_of_rules_and_hints_cover_them():
+    found = licenses.rules()
+    assert len(found) > 300
+    assert all(0 < r[4] <= 1 and r[3] in (0, 1, 2) for r in found)
+
+
+def test_scans_take_nulls_repeats_and_empty_tables(docs, rows, none):
+    for scan in (pii.find, licenses.scan):
+        assert scan(docs).count() == len(rows) and scan(none).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op3_personal_data", "op9_source_mix", "op10_license_scan"])
+def test_native_queries_run_no_python(spark, name):
+    plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -3,6 +3,7 @@ import uuid
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Observation
 from pyspark.sql import types as T
 
 from tripledger.schemas import ORDINAL
@@ -13,7 +14,8 @@ from tripledger.sources import (
     read_delimited,
     replace_table,
     rows_to_table,
-    swap_in,
+    publish,
+    write_version,
 )
 
 EDGE = (
@@ -147,8 +149,44 @@ def test_tables(spark):
     assert sorted(tuples(spark.table("src.t"))) == [(1, "x"), (2, "y"), (3, None)]
     for _ in range(2):
         replace_table(spark.createDataFrame([(7, "n")], schema), "u", "src")
-    swap_in(spark, "u", "t", "src")
-    assert tuples(spark.table("src.t")) == [(7, "n")]
+    for value in (7, 8):
+        publish(spark, {"t": write_version(spark.createDataFrame([(value, "n")], schema), "t", "src")}, "src")
+        assert tuples(spark.table("src.t")) == [(value, "n")]
+    assert rows_to_table(spark, [(9, "o")], schema, "t", "src") == 1
+    assert sorted(tuples(spark.table("src.t"))) == [(8, "n"), (9, "o")]
+    assert len([t for t in spark.catalog.listTables("src") if t.name.startswith("t__v")]) == 1
     create_tables(spark, {"t": schema}, "src")
     assert spark.table("src.t").count() == 0
     assert ORDINAL not in spark.table("src.t").columns
+
+
+def test_an_unclosed_quote_stops_the_read(spark, tmp_path):
+    lines = [f"{k};x;y" for k in range(10_000)]
+    lines[9] = '9;"x;y'
+    put(tmp_path / "a.csv", "A;B;C\n" + "\n".join(lines) + "\n")
+    with pytest.raises(Exception, match="ASPAS_ABERTAS.*a.csv.*9;"):
+        read_delimited(spark, str(tmp_path / "a.csv")).collect()
+    rows = read_delimited(spark, str(tmp_path / "a.csv"), open_quotes="lines")
+    assert rows.count() == 10_000 and rows.where("A <> '9' AND B = 'x' AND C = 'y'").count() == 9_999
+    with pytest.raises(ValueError):
+        read_delimited(spark, str(tmp_path / "a.csv"), open_quotes="guess")
+
+
+def test_an_empty_file_and_headers_in_another_order_are_errors(spark, tmp_path):
+    put(tmp_path / "empty.csv", "")
+    with pytest.raises(ValueError, match="empty.csv is empty"):
+        read_delimited(spark, str(tmp_path / "empty.csv"))
+    put(tmp_path / "d" / "1.csv", "A;B;;\n1;2;3;4\n")
+    put(tmp_path / "d" / "2.csv", "A;B;;\r\n5;6;7;8\r\n")
+    names = {"a": "a", "b": "b"}
+    assert sorted(tuples(read_delimited(spark, str(tmp_path / "d"), names))) == [("1", "2"), ("5", "6")]
+    put(tmp_path / "d" / "3.csv", "B;A;;\n1;2;3;4\n")
+    with pytest.raises(ValueError, match="different headers.*1.csv.*3.csv"):
+        read_delimited(spark, str(tmp_path / "d"), names)
+
+
+def test_skipped_records_are_counted(spark, tmp_path):
+    put(tmp_path / "a.csv", "A;B\n1;2\n1;2;3\n\n   \n4\n1;2;3;4\n")
+    skipped = Observation("skipped")
+    rows = read_delimited(spark, str(tmp_path / "a.csv"), skipped=skipped)
+    assert len(rows.collect()) == 2 and skipped.get == {"longa": 2}

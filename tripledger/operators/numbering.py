@@ -35,15 +35,15 @@ def number_chunks(staged: DataFrame, name: str, chunk: Sequence[str], row: str,
     return staged.join(offsets, list(chunk)).select(number.cast("long").alias(name), *kept)
 
 
-def add_dense_id(df: DataFrame, name: str, order: Sequence[str | Column], start: int = 1,
-                 staging: Staging | None = None) -> DataFrame:
+def add_dense_id(df: DataFrame, name: str, order: Sequence[str | Column], staging: Staging,
+                 start: int = 1) -> DataFrame:
     """Number the rows ``start``, ``start + 1``, … in the order of ``order``.
 
     ``order`` must tell any two rows apart, else equal rows are numbered arbitrarily. The
     rows are spread over range partitions and staged once, because range boundaries are
-    sampled and would differ if the plan ran twice.
+    sampled and would differ if the plan ran twice. The result is read from ``staging``, which
+    the caller clears when it is done with it. One row per partition passes through one task.
     """
-    staging = staging or Staging(df.sparkSession)
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tripledger.functions.display import currency, scaled, thousands
 from tripledger.functions.parse import _column
-from tripledger.functions.text import title_case
+from tripledger.functions.text import blank_to, title_case
 from tripledger.plans import questions as q
+from tripledger.schemas import BLANK_LABEL
 
 
 def _sentence(*parts: Column | str) -> Column:
@@ -23,18 +24,25 @@ def answer(result: DataFrame, question: str, text: Column) -> DataFrame:
 
 
 def answers(trips: DataFrame, payments: DataFrame, segments: DataFrame) -> DataFrame:
-    """One computed sentence per question. A question without data gives no row."""
+    """One computed sentence per question. A question without data gives no row; a name that is
+    missing reads as ``Não Informado``, and the payment type is the first that has a mean."""
+    def named(name: str) -> Column:
+        return blank_to(name, BLANK_LABEL)
+
+    paid = q.q04(payments).where("valor_medio_pagamento IS NOT NULL").orderBy(
+        F.desc("valor_medio_pagamento"), "tipo_pagamento")
     lines = [
         answer(q.q01(trips), "q01", _sentence(
-            "Maior custo total: ", F.col("orgao"), ", ", currency("custo_total"), ".")),
+            "Maior custo total: ", named("orgao"), ", ", currency("custo_total"), ".")),
         answer(q.q02(trips), "q02", _sentence(
             "Maior custo médio entre destinos com mais de 5 viagens: ",
             F.col("destino_principal"), ", ", currency("custo_medio"), ".")),
         answer(q.q03(trips), "q03", _sentence(
             "Viagem mais longa: ", F.col("duracao_dias").cast("string"), " dias, viajante ",
-            title_case("nome_viajante"), ", destino ", F.trim("destinos"), ", custo ",
+            F.coalesce(title_case("nome_viajante"), F.lit(BLANK_LABEL)), ", destino ",
+            named("destinos"), ", custo ",
             currency("valor_total"), ".")),
-        answer(q.q04(payments), "q04", _sentence(
+        answer(paid, "q04", _sentence(
             "Maior valor médio: ", F.trim("tipo_pagamento"), ", ",
             currency("valor_medio_pagamento"), " em ", thousands("quantidade_pagamentos"),
             " pagamentos, total ", currency("volume_total_pago"), ".")),
@@ -45,7 +53,7 @@ def answers(trips: DataFrame, payments: DataFrame, segments: DataFrame) -> DataF
             "UF de destino mais frequente: ", F.col("uf_destino"), ", ",
             thousands("total_ocorrencias"), " trechos.")),
         answer(q.q07(trips), "q07", _sentence(
-            "Maior valor consolidado: ", F.col("orgao"), ", ",
+            "Maior valor consolidado: ", named("orgao"), ", ",
             currency("valor_consolidado"), ".")),
     ]
     return reduce(DataFrame.unionByName, lines)

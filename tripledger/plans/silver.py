@@ -43,7 +43,7 @@ from tripledger.schemas import (
     SILVER,
     SILVER_LENGTHS,
 )
-from tripledger.sources.tables import replace_table, swap_in, table_name
+from tripledger.sources.tables import discard, publish, table_name, write_version
 from tripledger.staging import Staging
 
 KEY = "id_viagem"
@@ -135,54 +135,55 @@ def _finish(rows: DataFrame, table: str, ids: str, staging: Staging) -> DataFram
 
 
 def build_silver(spark: SparkSession, database: str | None = None, mode: str = "fail",
-                 ids: str = "dense") -> DataFrame:
+                 ids: str = "ordinal") -> DataFrame:
     """Build the four silver tables from the raw ones and report their rows.
 
     ``mode="fail"`` stops at a row that breaks a rule and leaves the previous tables;
     ``mode="quarantine"`` moves such rows to ``quarentena_<table>`` with the rules they break.
     Child rows without a trip go to ``orfaos_<table>`` in that mode and are left out in both.
+    All of these tables change together at the end, and none if anything fails before.
 
-    ``ids="dense"`` numbers child rows 1..N in file order, at the price of sorting them once
-    more; ``ids="ordinal"`` uses the position in the file, which is unique and in the same
-    order but skips the rows left out.
+    ``ids="ordinal"`` numbers child rows by their position in the file, which is unique and in
+    file order but skips the rows left out. ``ids="dense"`` numbers them 1..N, at the price of
+    sorting them once more.
     """
     if mode not in ("fail", "quarantine"):
         raise ValueError(f"mode must be 'fail' or 'quarantine', not {mode!r}")
     if ids not in ("dense", "ordinal"):
         raise ValueError(f"ids must be 'dense' or 'ordinal', not {ids!r}")
-    new = {t: f"{t}__nova" for t in ("silver_viagem", *CHILDREN)}
+    versions: dict[str, str] = {}
 
     def raw(table: str) -> DataFrame:
         return spark.table(table_name(database, raw_of(table)))
 
+    def put(table: str, rows: DataFrame) -> None:
+        versions[table] = write_version(rows, table, database)
+
     def write(table: str, rows: DataFrame, staging: Staging) -> None:
         if mode == "fail":
             rows = guarded(rows, KEY)
         else:
-            good, bad = split_broken(staging.put(rows, table))
-            replace_table(bad, f"quarentena_{table}", database)
-            rows = good
+            rows, bad = split_broken(staging.put(rows, table))
+            put(f"quarentena_{table}", bad)
+        put(table, _finish(rows, table, ids, staging))
+
+    with Staging(spark) as staging:
         try:
-            replace_table(_finish(rows, table, ids, staging), new[table], database)
+            table = "silver_viagem"
+            write(table, flagged(raw(table), table), staging)
+            trips = spark.table(table_name(database, versions[table])).select(KEY)
+            for table in CHILDREN:
+                write(table, flagged_child(raw(table), table, trips), staging)
+                if mode == "quarantine":
+                    put(f"orfaos_{table}", orphans(raw(table), trips, KEY, unique=True))
         except Exception as error:
-            for name in new.values():
-                spark.sql(f"DROP TABLE IF EXISTS {table_name(database, name)}")
+            discard(spark, versions.values(), database)
             if stopped_by(error):
                 raise RuleViolation(table, detail=stopped_by(error)) from error
             raise
-
-    with Staging(spark) as staging:
-        write("silver_viagem", flagged(raw("silver_viagem"), "silver_viagem"), staging)
-        trips = spark.table(table_name(database, new["silver_viagem"])).select(KEY)
-        for table in CHILDREN:
-            write(table, flagged_child(raw(table), table, trips), staging)
-            if mode == "quarantine":
-                replace_table(orphans(raw(table), trips, KEY, unique=True),
-                              f"orfaos_{table}", database)
-    for table in new:
-        swap_in(spark, new[table], table, database)
+        publish(spark, versions, database)
     return spark.createDataFrame(
-        [(t, spark.table(table_name(database, t)).count()) for t in new],
+        [(t, spark.table(table_name(database, t)).count()) for t in ("silver_viagem", *CHILDREN)],
         "tabela string, linhas long")
 
 

@@ -3,13 +3,15 @@
 from tripledger.sources.delimited import find_file, has_open_quotes, read_delimited
 from tripledger.sources.tables import (
     create_tables,
+    discard,
+    publish,
     replace_table,
     rows_to_table,
-    swap_in,
     table_name,
+    write_version,
 )
 
 __all__ = [
-    "create_tables", "find_file", "has_open_quotes", "read_delimited", "replace_table",
-    "rows_to_table", "swap_in", "table_name",
+    "create_tables", "discard", "find_file", "has_open_quotes", "publish", "read_delimited",
+    "replace_table", "rows_to_table", "table_name", "write_version",
 ]

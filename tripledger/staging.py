@@ -7,9 +7,12 @@ later passes read just the columns they need and Spark knows the real size of th
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,3 +52,24 @@ class Staging:
 
     def __exit__(self, *exc) -> None:
         self.clear()
+
+
+_SESSIONS: dict[str, Staging] = {}
+
+
+def session_staging(spark: SparkSession) -> Staging:
+    """One staging folder for a whole application, for results that are read after the call that
+    made them. It is cleared when the interpreter ends, or earlier by ``clear_session``."""
+    app = spark.sparkContext.applicationId
+    if app not in _SESSIONS:
+        _SESSIONS[app] = Staging(spark)
+        atexit.register(clear_session, app)
+    return _SESSIONS[app]
+
+
+def clear_session(app: str) -> None:
+    """Delete the application's staging folder. A session that has ended cannot."""
+    staging = _SESSIONS.pop(app, None)
+    if staging is not None:
+        with contextlib.suppress(Py4JError, Py4JNetworkError, ConnectionError, AttributeError):
+            staging.clear()

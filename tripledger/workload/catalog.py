@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +13,7 @@ from tripledger import functions as fn
 from tripledger import operators as op
 from tripledger.plans import gold, questions, report, silver
 from tripledger.sources.delimited import ORIGIN, read_delimited
-from tripledger.staging import Staging
+from tripledger.staging import session_staging
 from tripledger.workload import files, roles
 from tripledger.workload.roles import Tables, date_text, dec, money_text, text
 
@@ -197,26 +198,36 @@ def checked_rows(t):
 
 @_query
 def dense_id(t):
-    return op.add_dense_id(t.orders.select("o_orderkey", "o_custkey"), "id", ["o_orderkey"])
+    return op.add_dense_id(t.orders.select("o_orderkey", "o_custkey"), "id", ["o_orderkey"],
+                           session_staging(t.spark))
 
 
 # ---- files -----------------------------------------------------------------------------
 
-def _customer_files(t, staging):
+def _customer_files(t, staging, **options):
     path = files.write_lines(files.customer_lines(t), ["c_custkey"], files.CUSTOMER_HEADER,
                              staging.path("customer"))
     return read_delimited(t.spark, path, files.CUSTOMER_NAMES, files.CUSTOMER_COLUMNS,
-                          with_origin=True)
+                          with_origin=True, **options)
 
 
 @_query
 def delimited_rows(t):
-    return _customer_files(t, Staging(t.spark)).select(*files.CUSTOMER_COLUMNS)
+    return _customer_files(t, session_staging(t.spark)).select(*files.CUSTOMER_COLUMNS)
+
+
+@_query
+def delimited_skipped(t):
+    """Records read and skipped, with the reason."""
+    staging, skipped = session_staging(t.spark), Observation("skipped")
+    read = staging.put(_customer_files(t, staging, skipped=skipped), "rows").agg(
+        F.lit("lida").alias("motivo"), F.count(F.lit(1)).alias("registros"))
+    return read.unionByName(t.spark.createDataFrame(list(skipped.get.items()), read.schema))
 
 
 @_query
 def file_order_id(t):
-    staging = Staging(t.spark)
+    staging = session_staging(t.spark)
     staged = staging.put(_customer_files(t, staging), "rows")
     *chunk, row = ORIGIN
     return op.number_chunks(staged, "id", chunk, row, staging).select("id", "codigo")
@@ -234,19 +245,25 @@ def loaded_payments(t):
     return raw.join(clean, "tipo_pagamento")
 
 
-@_query
-def loaded_counts(t):
-    """Rows of every table that the loads leave."""
-    database = files.layers(t.spark, t.folder)
-    counts = [t.spark.table(f"`{database}`.{name}").agg(F.count(F.lit(1)).alias("linhas")).select(
+def _counts(spark: SparkSession, database: str) -> DataFrame:
+    counts = [spark.table(f"`{database}`.{name}").agg(F.count(F.lit(1)).alias("linhas")).select(
         F.lit(name).alias("tabela"), "linhas")
         for prefix in ("raw_", "silver_", "quarentena_silver_", "orfaos_silver_")
         for name in [prefix + k for k in ("viagem", "pagamento", "passagem", "trecho")]
         if name != "orfaos_silver_viagem"]
-    result = counts[0]
-    for c in counts[1:]:
-        result = result.unionByName(c)
-    return result
+    return reduce(DataFrame.unionByName, counts)
+
+
+@_query
+def loaded_counts(t):
+    """Rows of every table that the loads leave."""
+    return _counts(t.spark, files.layers(t.spark, t.folder))
+
+
+@_query
+def reloaded_counts(t):
+    """The same after a second load, which replaces all tables."""
+    return _counts(t.spark, files.reloaded(t.spark, t.folder))
 
 
 @_query
@@ -266,12 +283,13 @@ def _good(flagged: DataFrame, table: str) -> DataFrame:
 
 def _stored(raw: DataFrame) -> DataFrame:
     """Raw text in a table, as a load leaves it: text is made once, however often it is read."""
-    return Staging(raw.sparkSession).put(raw, "raw")
+    return session_staging(raw.sparkSession).put(raw, "raw")
 
 
 def _numbered(raw: DataFrame) -> DataFrame:
     """Raw text in a table, with the ordinal of each row."""
-    return op.add_dense_id(_stored(raw), silver.ORDINAL, roles.LINE_ORDER).drop(*roles.LINE_ORDER)
+    return op.add_dense_id(_stored(raw), silver.ORDINAL, roles.LINE_ORDER,
+                           session_staging(raw.sparkSession)).drop(*roles.LINE_ORDER)
 
 
 @_query

@@ -155,6 +155,11 @@ def _charts() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    return sql | {"reloaded_counts": sql["loaded_counts"]}
+
+
+def _oracle_sql() -> dict[str, str]:
     first_line = _FIRST.format(keys="l_orderkey, l_linenumber")
     return {
         "parse_money": "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) "
@@ -258,6 +263,9 @@ def oracle_sql() -> dict[str, str]:
             JOIN (SELECT l_returnflag AS tipo_pagamento, count(*) AS silver,
                          max(silver_id) AS silver_id, {_money('sum(silver_id * c)')} AS prova
                   FROM paid GROUP BY 1) s USING (tipo_pagamento)""",
+        "delimited_skipped": """
+            SELECT 'lida' AS motivo, count(*) AS registros FROM customer WHERE c_custkey % 11 <> 3
+            UNION ALL SELECT 'longa', count(*) FROM customer WHERE c_custkey % 11 = 3""",
         "loaded_counts": f"""
             WITH {_LOADED}, lost AS (
                 SELECT * FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM trip))
@@ -391,25 +399,28 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1""",
         "answers": f"""
             WITH {_TRIPS}, {_PAYMENTS}, {_SEGMENTS}
-            SELECT 'q01' AS pergunta, 'Maior custo total: ' || orgao || ', '
+            SELECT 'q01' AS pergunta, 'Maior custo total: '
+                || coalesce(nullif(trim(orgao), ''), 'Não Informado') || ', '
                 || {_amount(_money('cents'))} || '.' AS resposta FROM ({_T01} LIMIT 1)
             UNION ALL SELECT 'q02', 'Maior custo médio entre destinos com mais de 5 viagens: '
                 || destino || ', ' || {_amount('medio')} || '.' FROM (SELECT * FROM ({_T02})
                 ORDER BY medio DESC, destino LIMIT 1)
             UNION ALL SELECT 'q03', 'Viagem mais longa: ' || CAST(days AS VARCHAR)
-                || ' dias, viajante ' || nome || ', destino ' || trim(destinos) || ', custo '
+                || ' dias, viajante ' || coalesce(nome, 'Não Informado') || ', destino '
+                || coalesce(nullif(trim(destinos), ''), 'Não Informado') || ', custo '
                 || {_amount(_money('cents'))} || '.' FROM ({_T03})
             UNION ALL SELECT 'q04', 'Maior valor médio: ' || tipo || ', ' || {_amount('medio2')}
                 || ' em ' || format('{{:,}}', n) || ' pagamentos, total '
                 || {_amount(_money('cents'))} || '.'
-                FROM (SELECT * FROM ({_T04}) ORDER BY medio DESC, tipo LIMIT 1)
+                FROM (SELECT * FROM ({_T04}) WHERE medio IS NOT NULL ORDER BY medio DESC, tipo LIMIT 1)
             UNION ALL SELECT 'q05', 'Transporte mais usado: ' || rotulo || ', '
                 || format('{{:,}}', n) || ' trechos.'
                 FROM (SELECT * FROM ({_T05}) ORDER BY n DESC, meio NULLS FIRST LIMIT 1)
             UNION ALL SELECT 'q06', 'UF de destino mais frequente: ' || uf_destino || ', '
                 || format('{{:,}}', n) || ' trechos.'
                 FROM (SELECT * FROM ({_T06}) ORDER BY n DESC, uf_destino LIMIT 1)
-            UNION ALL SELECT 'q07', 'Maior valor consolidado: ' || orgao || ', '
+            UNION ALL SELECT 'q07', 'Maior valor consolidado: '
+                || coalesce(nullif(trim(orgao), ''), 'Não Informado') || ', '
                 || {_amount(_money('cents'))} || '.' FROM ({_T01} LIMIT 1)""",
         "chart_table": _charts(),
     }

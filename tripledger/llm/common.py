@@ -2,31 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-
-from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.staging import Staging
-
-_STAGES: dict[str, Staging] = {}
-
-
-def stage(spark: SparkSession) -> Staging:
-    """The session's folder under ``spark.checkpoint.dir``, cleared when the driver ends."""
-    app = spark.sparkContext.applicationId
-    if app not in _STAGES:
-        _STAGES[app] = Staging(spark)
-        atexit.register(_clear, app)
-    return _STAGES[app]
-
+from tripledger.staging import session_staging as stage
 
-def _clear(app: str) -> None:
-    try:
-        _STAGES.pop(app).clear()
-    except (Py4JError, Py4JNetworkError, ConnectionError, AttributeError):
-        pass  # the session has ended before the interpreter; its folder is the cluster's to clear
+__all__ = ["full_text", "stage", "table"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from tripledger.operators.quality import (
     rule_summary,
     split_broken,
     stopped_by,
+    unique_key,
 )
 from tripledger.schemas import (
     COMPUTED,
@@ -194,3 +196,19 @@ def silver_violations(raw: DataFrame, table: str, parents: DataFrame | None = No
         rows = with_parent(rows, parents, KEY, unique=True)
     return rule_summary(rows, rules(table), table)
 
+
+
+def silver_relations(raw: DataFrame, table: str, parents: DataFrame | None = None) -> DataFrame:
+    """The rules between rows, in the form of ``silver_violations``: rows that repeat a key that
+    should be unique (``unico``), and child rows without a trip (``existe``). A load leaves both
+    out rather than stop on them."""
+    found = []
+    keys = KEEP_FIRST_KEYS.get(table)
+    if keys:
+        more = F.coalesce(F.sum(F.col("linhas") - 1), F.lit(0)).cast("long").alias("violacoes")
+        found.append(unique_key(typed(raw, table), keys).agg(more).select(
+            F.lit("unico:" + "+".join(keys)).alias("regra"), "violacoes"))
+    if parents is not None:
+        found.append(orphans(raw, parents, KEY, unique=True).agg(F.count(F.lit(1)).alias("violacoes")).select(
+            F.lit(f"existe:{KEY}").alias("regra"), "violacoes"))
+    return reduce(DataFrame.unionByName, found).select(F.lit(table).alias("tabela"), "regra", "violacoes")

@@ -327,6 +327,16 @@ def silver_payment_violations(t):
                                     roles.closed_orders(t))
 
 
+@_query
+def silver_relations(t):
+    """Repeated keys and orphans of all four tables."""
+    parts = [silver.silver_relations(_stored(roles.raw_trips(t)), "silver_viagem")]
+    for make, table in ((roles.raw_payments, "silver_pagamento"), (roles.raw_tickets, "silver_passagem"),
+                        (roles.raw_segments, "silver_trecho")):
+        parts.append(silver.silver_relations(_stored(make(t)), table, roles.closed_orders(t)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- gold and questions ----------------------------------------------------------------
 
 @_query

@@ -359,6 +359,17 @@ def _oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT 'tamanho:nome_ug_pagadora', 0
                 UNION ALL SELECT 'tamanho:tipo_pagamento', 0
                 UNION ALL SELECT 'texto_valido:valor', 0)""",
+        "silver_relations": """
+            WITH lost AS (SELECT count(*) AS v FROM lineitem WHERE l_orderkey NOT IN (
+                SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')),
+            s AS (SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS v FROM lineitem
+                  WHERE l_linenumber NOT IN (6, 7))
+            SELECT 'silver_viagem' AS tabela, 'unico:id_viagem' AS regra,
+                   count(*) - count(DISTINCT l_orderkey) AS violacoes FROM lineitem
+            UNION ALL SELECT 'silver_pagamento', 'existe:id_viagem', v FROM lost
+            UNION ALL SELECT 'silver_passagem', 'existe:id_viagem', v FROM lost
+            UNION ALL SELECT 'silver_trecho', 'existe:id_viagem', v FROM lost
+            UNION ALL SELECT 'silver_trecho', 'unico:id_viagem+sequencia_trecho', v FROM s""",
         "gold_as_written": _gold("as_written"),
         "gold_corrected": _gold("corrected"),
         "q01": f"SELECT orgao, {_money('cents')} AS custo_total FROM ({_Q01} LIMIT 5)",

@@ -6,17 +6,20 @@ from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import types as T
 
+from tripledger.operators import number_chunks
 from tripledger.schemas import ORDINAL
 from tripledger.sources import (
     create_tables,
     find_file,
     has_open_quotes,
     read_delimited,
+    publish,
     replace_table,
     rows_to_table,
-    publish,
     write_version,
 )
+from tripledger.sources.delimited import ORIGIN
+from tripledger.staging import Staging
 
 EDGE = (
     ' Nome ;SITUAÇÃO;C\n'
@@ -160,6 +163,12 @@ def test_tables(spark):
     assert ORDINAL not in spark.table("src.t").columns
 
 
+@pytest.fixture
+def staging(spark):
+    with Staging(spark) as staging:
+        yield staging
+
+
 def test_an_unclosed_quote_stops_the_read(spark, tmp_path):
     lines = [f"{k};x;y" for k in range(10_000)]
     lines[9] = '9;"x;y'
@@ -190,3 +199,23 @@ def test_skipped_records_are_counted(spark, tmp_path):
     skipped = Observation("skipped")
     rows = read_delimited(spark, str(tmp_path / "a.csv"), skipped=skipped)
     assert len(rows.collect()) == 2 and skipped.get == {"longa": 2}
+
+
+def test_only_the_files_that_need_it_are_read_whole(spark, tmp_path, staging):
+    for k in range(4):
+        body = "".join(f"{k}{i:04};{'x' * 40}\n" for i in range(2000))
+        put(tmp_path / f"{k}.csv", "A;B\n" + (f'{k}first;"line\nbreak"\n' if k == 2 else "") + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = read_delimited(spark, str(tmp_path), with_origin=True)
+        parts = rows.rdd.getNumPartitions()
+        *chunk, row = ORIGIN
+        got = tuples(number_chunks(staging.put(rows, "rows"), "n", chunk, row, staging).orderBy("n"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert parts > 12  # three files in splits, one as a whole
+    want = [f"{k}{i:04}" for k in range(4) for i in range(2000)]
+    want.insert(4000, "2first")
+    assert [r[1] for r in got] == want and got[4000][2] == "line\nbreak"

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from tripledger.llm.common import full_text
 from tripledger.staging import Staging
 
-BUDGET = 96 << 20
-FLUSH = 8 << 20
+BUDGET = 64 << 20
+FLUSH = 4 << 20
+ROWS = 256
 NODE_COST = 400
 
 
@@ -204,11 +205,13 @@ def _collapse(largest: bool, last: bool, budget: int):
             return Trie(merge, budget if last else 1 << 62)
         trie = fresh()
         for batch in batches:
-            for _, hashed, body, *value in zip(*(batch.column(n).to_pylist() for n in NAMES)):
-                trie.insert(body, (hashed, *value))
-                if not last and trie.used > budget:
-                    yield from out(trie)
-                    trie = fresh()
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                for _, hashed, body, *value in zip(*(part.column(n).to_pylist() for n in NAMES)):
+                    trie.insert(body, (hashed, *value))
+                    if not last and trie.used > budget:
+                        yield from out(trie)
+                        trie = fresh()
         yield from out(trie)
     return work
 

@@ -76,7 +76,7 @@ def fit(labelled: DataFrame, rows: int = 20_000, seed: int = 5) -> dict[str, np.
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             labels = np.array(batch.column("label").to_pylist(), dtype=object)
-            for lo, hi, data, bounds in slices(batch.column("text")):
+            for lo, hi, data, bounds in slices(batch.column("text"), PIECE):
                 buckets = _trigrams(data, bounds)
                 own = np.repeat(np.arange(lo, hi), np.diff(bounds))
                 for label in set(labels[lo:hi]):
@@ -107,7 +107,7 @@ def text_evidence(rows: DataFrame, model: dict[str, np.ndarray], weight: int) ->
         for batch in batches:
             grams = np.zeros(batch.num_rows, np.int64)
             sums = np.zeros((batch.num_rows, len(tables)))
-            for lo, hi, data, bounds in slices(batch.column("text")):
+            for lo, hi, data, bounds in slices(batch.column("text"), PIECE):
                 buckets = _trigrams(data, bounds)
                 full = np.flatnonzero(np.diff(bounds)) + lo
                 at = bounds[:-1][full - lo]
@@ -148,26 +148,28 @@ def identify(rows: DataFrame, model: dict[str, np.ndarray], staging: Staging, we
     parent = F.when(F.col("host").contains("."), F.regexp_replace("host", r"^[^.]*\.", ""))
     soft = scored.where("grams > 0").select(F.col("host"), parent.alias("parent"), own.alias("p"))
     sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(len(names))]
-    hosts = soft.groupBy("host", "parent").agg(*sums)
+    hosts = staging.put(soft.groupBy("host", "parent").agg(*sums), "hosts")
 
     def counts():
         return F.array(*[F.col(f"s{i}") for i in range(len(names))])
 
-    def again(df, *keys):
+    def again(df: DataFrame, *keys: str) -> DataFrame:
         return df.groupBy(*keys).agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(names))])
 
     def smoothed(n: Column, towards: Column) -> Column:
         total = F.aggregate(n, F.lit(0.0), lambda s, x: s + x)
         return F.zip_with(n, towards, lambda x, t: (x + smoothing * t) / (total + smoothing))
-    even = F.array(*[F.lit(1.0 / len(names))] * len(names))
-    whole = again(hosts).select(F.coalesce(*[smoothed(counts(), even)], even).alias("whole"))
-    parents = again(hosts.where("parent IS NOT NULL"), "parent").crossJoin(F.broadcast(whole)).select(
-        F.col("parent").alias("_parent"), smoothed(counts(), F.col("whole")).alias("above"))
-    priors = hosts.where("host IS NOT NULL").crossJoin(F.broadcast(whole)).join(
+    # The prior of the whole table is one number for each language.
+    all_ = [float(x or 0.0) for x in again(hosts).select(*[f"s{i}" for i in range(len(names))]).first()]
+    whole = F.array(*[F.lit((x + smoothing / len(names)) / (sum(all_) + smoothing)) for x in all_])
+    parents = again(hosts.where("parent IS NOT NULL"), "parent").select(
+        F.col("parent").alias("_parent"), smoothed(counts(), whole).alias("above"))
+    # Written, so that its size is known: hosts are broadcast only below the session's threshold,
+    # and beyond it adaptive execution can split a host that very many rows have.
+    priors = staging.put(hosts.where("host IS NOT NULL").join(
         parents, F.col("parent") == F.col("_parent"), "left").select(
-        F.col("host").alias("_host"), smoothed(counts(), F.coalesce("above", "whole")).alias("prior"))
-    whole = whole.withColumnRenamed("whole", "prior_of_all")
-    joined = scored.join(priors, F.col("host") == F.col("_host"), "left").crossJoin(F.broadcast(whole))
+        F.col("host").alias("_host"), smoothed(counts(), F.coalesce(F.col("above"), whole)).alias("prior")), "priors")
+    joined = scored.join(priors, F.col("host") == F.col("_host"), "left")
 
     def says(column: str, right: float) -> list[Column]:
         wrong = (1 - right) / max(1, len(names) - 2)
@@ -177,7 +179,7 @@ def identify(rows: DataFrame, model: dict[str, np.ndarray], staging: Staging, we
             if n != NONE else F.when(F.col(column).isNull() | ~known, 0.0).otherwise(
                 float(np.log(1 / max(1, len(names) - 1)))) for n in names]
     declared, suffix = says("declared", declared_right), says("suffix", suffix_right)
-    prior = F.coalesce("prior", "prior_of_all")
+    prior = F.coalesce(F.col("prior"), whole)
     logs = F.array(*[F.col("ll")[i] + declared[i] + suffix[i] + F.log(prior[i]) for i in range(len(names))])
     fused = joined.withColumn("posterior", _softmax(logs)).withColumn(
         "confidence", F.array_max("posterior"))

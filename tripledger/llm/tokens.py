@@ -54,16 +54,16 @@ def _hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return mixed(found + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows in order, a few MB of text at a time: first row, last row (exclusive), bytes with A-Z
+def slices(texts: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows in order, a few MB of text (or ``size`` bytes) at a time: first row, last row (exclusive), bytes with A-Z
     in lower case, and the rows' bounds in them. One longer text is a slice by itself."""
-    texts = texts.cast(pa.large_string())
+    size, texts = size or SLICE, texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     body = texts.buffers()[2]
     data = np.frombuffer(body, np.uint8) if body is not None else np.empty(0, np.uint8)
     lo = 0
     while lo < len(texts):
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE, side="right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
         hi = min(hi, len(texts))
         yield lo, hi, LOWER[data[offsets[lo]:offsets[hi]]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi

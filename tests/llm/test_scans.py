@@ -72,6 +72,8 @@ def test_there_are_hundreds_of_rules_and_hints_cover_them():
     found = licenses.rules()
     assert len(found) > 300
     assert all(0 < r[4] <= 1 and r[3] in (0, 1, 2) for r in found)
+    for phrase in [*licenses.PHRASES, *(k for r in found for k in r[2])]:
+        assert any(h in f" {phrase} " for h in licenses.HINTS), phrase
 
 
 def test_scans_take_nulls_repeats_and_empty_tables(docs, rows, none):

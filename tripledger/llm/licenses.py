@@ -11,6 +11,8 @@ text without any keyword costs one scan.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,52 +24,50 @@ BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 # Base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# (label, spellings of the name, keyword, spellings of versions with a suffix of the label)
+# (label, spellings of the name, spellings of versions)
 FAMILIES = [
-    ("gpl", ["gnu general public license", "gnu gpl", "gpl"], "g", ["1", "2", "3", "2 0", "3 0"]),
+    ("gpl", ["gnu general public license", "gnu gpl", "gpl"], ["1", "2", "3", "2 0", "3 0"]),
     ("lgpl", ["gnu lesser general public license", "gnu library general public license", "gnu lgpl",
-              "lgpl"], "g", ["2", "2 1", "3", "3 0"]),
-    ("agpl", ["gnu affero general public license", "affero general public license", "agpl"], "affero|agpl",
-     ["1", "3", "3 0"]),
-    ("gfdl", ["gnu free documentation license", "gfdl"], "free documentation|gfdl", ["1 1", "1 2", "1 3"]),
-    ("apache", ["apache software license", "apache license", "asl"], "apache|asl", ["1 0", "1 1", "2", "2 0"]),
-    ("mit", ["mit license", "mit expat license", "expat license", "x11 license"], "mit|expat|x11", []),
+              "lgpl"], ["2", "2 1", "3", "3 0"]),
+    ("agpl", ["gnu affero general public license", "affero general public license", "agpl"], ["1", "3", "3 0"]),
+    ("gfdl", ["gnu free documentation license", "gfdl"], ["1 1", "1 2", "1 3"]),
+    ("apache", ["apache software license", "apache license", "asl"], ["1 0", "1 1", "2", "2 0"]),
+    ("mit", ["mit license", "mit expat license", "expat license", "x11 license"], []),
     ("bsd", ["bsd license", "berkeley software distribution license", "modified bsd license",
-             "simplified bsd license", "revised bsd license"], "bsd|berkeley", []),
-    ("mpl", ["mozilla public license", "mpl"], "mozilla|mpl", ["1 0", "1 1", "2", "2 0"]),
-    ("epl", ["eclipse public license", "epl"], "eclipse|epl", ["1 0", "2 0"]),
-    ("eupl", ["european union public licence", "european union public license", "eupl"], "european|eupl",
-     ["1 0", "1 1", "1 2"]),
-    ("cddl", ["common development and distribution license", "cddl"], "development and|cddl", ["1 0", "1 1"]),
-    ("cpl", ["common public license"], "common public", ["1 0"]),
-    ("artistic", ["artistic license"], "artistic", ["1 0", "2 0"]),
-    ("isc", ["isc license"], "isc", []),
-    ("zlib", ["zlib license", "zlib libpng license"], "zlib", []),
-    ("boost", ["boost software license"], "boost", ["1 0"]),
-    ("unlicense", ["the unlicense", "unlicense"], "unlicense", []),
-    ("wtfpl", ["wtfpl", "do what the fuck you want to public license"], "wtfpl|want to public", ["2"]),
-    ("psf", ["python software foundation license", "psf license"], "psf|python software", ["2"]),
-    ("php", ["php license"], "php", ["3 0", "3 01"]),
-    ("ms-pl", ["microsoft public license"], "microsoft public", []),
-    ("ms-rl", ["microsoft reciprocal license"], "microsoft reciprocal", []),
-    ("ofl", ["sil open font license", "open font license"], "open font", ["1 0", "1 1"]),
-    ("odbl", ["open database license", "odbl"], "open database|odbl", ["1 0"]),
-    ("odc-by", ["open data commons attribution license"], "data commons", ["1 0"]),
-    ("pddl", ["public domain dedication and license", "pddl"], "domain dedication|pddl", ["1 0"]),
-    ("ogl", ["open government licence", "open government license"], "open government", ["1 0", "2 0", "3 0"]),
-    ("osl", ["open software license"], "open software", ["1 0", "2 0", "2 1", "3 0"]),
-    ("afl", ["academic free license"], "academic free", ["2 0", "2 1", "3 0"]),
-    ("ncsa", ["university of illinois ncsa open source license", "ncsa open source license"], "ncsa", []),
-    ("openssl", ["openssl license"], "openssl", []),
-    ("ruby", ["ruby license"], "ruby license", []),
-    ("vim", ["vim license"], "vim license", []),
-    ("upl", ["universal permissive license"], "universal permissive", ["1 0"]),
-    ("sspl", ["server side public license", "sspl"], "server side|sspl", ["1"]),
-    ("busl", ["business source license", "busl"], "business source|busl", ["1 0", "1 1"]),
-    ("elastic", ["elastic license"], "elastic license", ["2 0"]),
-    ("cecill", ["cecill license", "cecill"], "cecill", ["1", "2", "2 1"]),
-    ("rail", ["responsible ai license", "openrail license", "openrail m license"], "responsible ai|openrail", []),
-    ("cc0", ["cc0", "creative commons zero"], "cc0|commons zero", ["1 0"]),
+             "simplified bsd license", "revised bsd license"], []),
+    ("mpl", ["mozilla public license", "mpl"], ["1 0", "1 1", "2", "2 0"]),
+    ("epl", ["eclipse public license", "epl"], ["1 0", "2 0"]),
+    ("eupl", ["european union public licence", "european union public license", "eupl"], ["1 0", "1 1", "1 2"]),
+    ("cddl", ["common development and distribution license", "cddl"], ["1 0", "1 1"]),
+    ("cpl", ["common public license"], ["1 0"]),
+    ("artistic", ["artistic license"], ["1 0", "2 0"]),
+    ("isc", ["isc license"], []),
+    ("zlib", ["zlib license", "zlib libpng license"], []),
+    ("boost", ["boost software license"], ["1 0"]),
+    ("unlicense", ["the unlicense", "unlicense"], []),
+    ("wtfpl", ["wtfpl", "do what the fuck you want to public license"], ["2"]),
+    ("psf", ["python software foundation license", "psf license"], ["2"]),
+    ("php", ["php license"], ["3 0", "3 01"]),
+    ("ms-pl", ["microsoft public license"], []),
+    ("ms-rl", ["microsoft reciprocal license"], []),
+    ("ofl", ["sil open font license", "open font license"], ["1 0", "1 1"]),
+    ("odbl", ["open database license", "odbl"], ["1 0"]),
+    ("odc-by", ["open data commons attribution license"], ["1 0"]),
+    ("pddl", ["public domain dedication and license", "pddl"], ["1 0"]),
+    ("ogl", ["open government licence", "open government license"], ["1 0", "2 0", "3 0"]),
+    ("osl", ["open software license"], ["1 0", "2 0", "2 1", "3 0"]),
+    ("afl", ["academic free license"], ["2 0", "2 1", "3 0"]),
+    ("ncsa", ["university of illinois ncsa open source license", "ncsa open source license"], []),
+    ("openssl", ["openssl license"], []),
+    ("ruby", ["ruby license"], []),
+    ("vim", ["vim license"], []),
+    ("upl", ["universal permissive license"], ["1 0"]),
+    ("sspl", ["server side public license", "sspl"], ["1"]),
+    ("busl", ["business source license", "busl"], ["1 0", "1 1"]),
+    ("elastic", ["elastic license"], ["2 0"]),
+    ("cecill", ["cecill license", "cecill"], ["1", "2", "2 1"]),
+    ("rail", ["responsible ai license", "openrail license", "openrail m license"], []),
+    ("cc0", ["cc0", "creative commons zero"], ["1 0"]),
 ]
 # Creative Commons: what follows "cc" or "creative commons", in code and in words.
 COMMONS = {
@@ -82,9 +82,9 @@ COMMONS = {
 NOTICES = [
     ("reserved", "all rights reserved", "rights reserved", 0, 0.8),
     ("reserved", "some rights reserved", "rights reserved", 0, 0.5),
-    ("reserved", "alle rechte vorbehalten", "vorbehalten", 0, 0.8),
-    ("reserved", "tous droits réservés", "droits", 0, 0.8),
-    ("reserved", "todos los derechos reservados", "derechos", 0, 0.8),
+    ("reserved", "alle rechte vorbehalten", "alle rechte vorbehalten", 0, 0.8),
+    ("reserved", "tous droits réservés", "tous droits", 0, 0.8),
+    ("reserved", "todos los derechos reservados", "los derechos", 0, 0.8),
     ("public-domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", "public domain", 1, 0.8),
     ("copyright", "copyright (?:c )?(?:[0-9]{4} )*[0-9]{4}", "copyright", 0, 0.5),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software",
@@ -92,54 +92,57 @@ NOTICES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee",
      "without fee", 2, 0.95),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
-     "redistribution", 2, 0.95),
-    ("zlib", "this software is provided as is without any express or implied warranty", "as is", 1, 0.6),
-    ("apache", "you may not use this file except in compliance with the license", "compliance", 2, 0.9),
-    ("gpl", "this program is free software you can redistribute it and or modify it", "redistribute", 2, 0.9),
+     "source and binary forms", 2, 0.95),
+    ("zlib", "this software is provided as is without any express or implied warranty", "provided as is", 1, 0.6),
+    ("apache", "you may not use this file except in compliance with the license", "compliance with the license", 2, 0.9),
+    ("gpl", "this program is free software you can redistribute it and or modify it", "free software you can", 2, 0.9),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered", 2, 0.95),
     ("proprietary", "(?:proprietary and confidential|unauthorized (?:copying|reproduction|distribution) of this)",
-     "proprietary|unauthorized", 1, 0.7),
+     "proprietary and confidential|unauthorized ", 1, 0.7),
 ]
 GRANT = "(?:licensed|released|distributed|available|published|provided) under (?:the |a |an )?(?:terms of (?:the )?)?"
 
 
 def rules() -> list[tuple[str, str, list[str], int, float]]:
-    """(label, expression, keywords, priority, confidence) in order; made from the tables above."""
+    """(label, expression, keywords, priority, confidence) in order; made from the tables above.
+    What an expression matches holds one of its keywords, a space standing for a word's end."""
     found = []
 
     def add(label, name, keys, priority, confidence):
         found.append((label, f"(?<= )(?:{name})(?= )", keys.split("|"), priority, confidence))
 
-    for label, names, keys, versions in FAMILIES:
+    for label, names, versions in FAMILIES:
         for name in names:
-            sure = " " in name
+            sure, key = " " in name, name if " " in name else f" {name} "
             for v in versions:
                 full = f"{label}-{v.replace(' ', '.')}"
-                add(full, f"{GRANT}{name}(?: license)? (?:version |v)?{v}", keys, 2, 0.95)
-                add(full, f"{name} (?:version |v)?{v}", keys, 1, 0.9 if sure else 0.6)
-            add(label, f"{GRANT}{name}", keys, 2 if sure else 1, 0.9)
+                add(full, f"{GRANT}{name}(?: license)? (?:version |v)?{v}", key, 2, 0.95)
+                add(full, f"{name} (?:version |v)?{v}", key, 1, 0.9 if sure else 0.6)
+            add(label, f"{GRANT}{name}", key, 2 if sure else 1, 0.9)
             if sure:
-                add(label, name, keys, 0, 0.7)
-        add(label, f"spdx license identifier {label.replace('-', ' ')}(?: [0-9]+)*", "spdx", 2, 1.0)
+                add(label, name, key, 0, 0.7)
+        add(label, f"spdx license identifier {label.replace('-', ' ')}(?: [0-9]+)*", SPDX, 2, 1.0)
     for part, names in COMMONS.items():
         for name in names:
-            for lead in ("cc", "creative commons"):
+            for lead, key in (("cc", " cc "), ("creative commons", "creative commons")):
                 body = f"{lead} {name}(?: (?:license|licence|international|unported))*"
-                add(f"cc-{part}", f"{GRANT}{body}(?: [1-4] [0-9])?", lead, 2, 0.95)
-                add(f"cc-{part}", f"{body} [1-4] [0-9]", lead, 1, 0.9)
+                add(f"cc-{part}", f"{GRANT}{body}(?: [1-4] [0-9])?", key, 2, 0.95)
+                add(f"cc-{part}", f"{body} [1-4] [0-9]", key, 1, 0.9)
                 if (lead, name) != ("cc", "by"):
-                    add(f"cc-{part}", body, lead, 0, 0.7)
-        add(f"cc-{part}", f"spdx license identifier cc {names[0]}(?: [1-4] [0-9])?", "spdx", 2, 1.0)
+                    add(f"cc-{part}", body, key, 0, 0.7)
+        add(f"cc-{part}", f"spdx license identifier cc {names[0]}(?: [1-4] [0-9])?", SPDX, 2, 1.0)
     for label, name, keys, priority, confidence in NOTICES:
         add(label, name, keys, priority, confidence)
     return found
 
 
-# One of these is in every text that any rule or base phrase can match.
-HINTS = ["licen", "reserved", "cc by", "cc0", "public domain", "copyright", "commons", "spdx", "droits",
-         "derechos", "vorbehalten", "hereby granted", "without fee", "redistribut", "as is", "compliance",
-         "unencumbered", "proprietary", "unauthorized", "gpl", "gfdl", "asl", "mpl", "epl", "eupl", "cddl",
-         "wtfpl", "odbl", "pddl", "sspl", "busl", "cecill"]
+SPDX = "spdx license identifier"
+# One of these is in every keyword and every base phrase, so a text without them has nothing.
+HINTS = ["licen", "reserved", " cc", "creative commons", "public domain", "copyright", "rechte vorbehalten",
+         "tous droits", "los derechos", "hereby granted", "without fee", "source and binary", "provided as is",
+         "free software you can", "unencumbered", "proprietary and", "unauthorized ", " gpl ", " lgpl ", " agpl ",
+         " gfdl ", " asl ", " mpl ", " epl ", " eupl ", " cddl ", " wtfpl ", "want to public", " odbl ", " pddl ",
+         " sspl ", " busl ", " cecill "]
 
 
 def as_words(text: Column) -> Column:
@@ -159,23 +162,32 @@ def _starts(matches: Column, pieces: Column) -> Column:
     return F.zip_with(sums_before(both), before, lambda s, b: s + b)
 
 
-def _detections(words: Column) -> Column:
-    table = F.array(*[F.struct(
-        F.lit(label).alias("label"), F.lit(pattern).alias("pattern"),
-        F.array(*map(F.lit, keys)).alias("keys"), F.lit(priority).alias("priority"),
-        F.lit(confidence).alias("confidence")) for label, pattern, keys, priority, confidence in rules()])
-    tried = F.filter(table, lambda r: F.exists(r["keys"], lambda k: F.contains(words, k)))
+def _keys() -> list[str]:
+    return list(dict.fromkeys(k for rule in rules() for k in rule[2]))
+
+
+def _detections(words: Column, present: Column) -> Column:
+    """``present`` must be a column that is computed already: the rules ask for it one by one."""
+    names = ("label", "pattern", "keys", "priority", "confidence")
+    table = F.from_json(F.lit(json.dumps([dict(zip(names, rule)) for rule in rules()])), (
+        "array<struct<label:string,pattern:string,keys:array<string>,priority:int,confidence:double>>"))
+    tried = F.when(F.size(present) > 0, F.filter(table, lambda r: F.arrays_overlap(r["keys"], present))).otherwise(
+        F.slice(table, 1, 0))
 
-    def places(r: Column) -> Column:
-        matches = F.regexp_extract_all(words, r["pattern"], F.lit(0))
-        pieces = F.call_function("split", words, r["pattern"], F.lit(-1))
-        starts = F.when(F.size(matches) > 0, _starts(matches, pieces)).otherwise(
-            F.array().cast("array<bigint>"))
-        return F.zip_with(starts, matches, lambda s, m: F.struct(
-            s.alias("start"), (-(s + _spaces(m) + 1)).alias("minus_end"),
-            (-r["priority"]).alias("minus_priority"), r["label"].alias("label"),
-            r["confidence"].alias("confidence")))
-    return F.flatten(F.transform(tried, places))
+    # A lambda's variable is computed once, an expression each time it is named: so each rule's
+    # matches become a variable before they are asked for.
+    matched = F.filter(F.transform(tried, lambda r: F.struct(
+        r.alias("rule"), F.regexp_extract_all(words, r["pattern"], F.lit(0)).alias("matches"))),
+        lambda x: F.size(x["matches"]) > 0)
+    cut = F.transform(matched, lambda x: F.struct(
+        x["rule"].alias("rule"), x["matches"].alias("matches"),
+        F.call_function("split", words, x["rule"]["pattern"], F.lit(-1)).alias("pieces")))
+    started = F.transform(cut, lambda x: F.struct(
+        x["rule"].alias("rule"), x["matches"].alias("matches"), _starts(x["matches"], x["pieces"]).alias("starts")))
+    return F.flatten(F.transform(started, lambda x: F.zip_with(x["starts"], x["matches"], lambda s, m: F.struct(
+        s.alias("start"), (-(s + _spaces(m) + 1)).alias("minus_end"),
+        (-x["rule"]["priority"]).alias("minus_priority"), x["rule"]["label"].alias("label"),
+        x["rule"]["confidence"].alias("confidence")))))
 
 
 def _uncovered(found: Column) -> Column:
@@ -215,7 +227,9 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("base", F.regexp_extract_all(low, F.lit(pattern), F.lit(0)))
     rows = rows.withColumn("base", F.coalesce("base", F.array().cast("array<string>"))).withColumn(
         "pieces", F.when(F.size("base") > 0, F.split(low, pattern, -1)))
-    rows = rows.withColumn("found", F.when(low.isNotNull(), _uncovered(_detections(low))))
+    rows = rows.withColumn("present", F.when(low.isNotNull(), F.filter(
+        F.array(*map(F.lit, _keys())), lambda k: F.contains(low, k))))
+    rows = rows.withColumn("found", F.when(F.size("present") > 0, _uncovered(_detections(low, F.col("present")))))
     labels = F.array_sort(F.array_distinct(F.transform(F.col("base"), lambda b: F.element_at(
         F.create_map(*[F.lit(x) for pair in PHRASES.items() for x in pair]), b))))
     last = F.col("n_words") - _spaces(F.element_at("pieces", -1)) - _spaces(F.element_at("base", -1))

@@ -57,7 +57,7 @@ if __name__ == "__main__":
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(folder), 0
-    for name in sys.argv[2:] or queries():
+    for name in sys.argv[2:] or oracle_sql():
         started = time.time()
         try:
             problem = compare(spark, con, folder, name)

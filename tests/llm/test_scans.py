@@ -28,6 +28,15 @@ def test_base_spans_are_those_of_the_plain_expressions(spark):
     assert "ssn" in kinds[10] and "ssn" not in kinds[13]
 
 
+def test_address_parts_may_be_zero(spark):
+    texts = ["10.0.0.1", "at 192.168.0.1, 127.0.0.1", "0.0.0.0", "000.1.2.3", "10.00.1.2", "255.0.255.000", "0.0.0.256", "0256.0.0.0",
+             "00300.1.1.1", ".".join(["0" * 4000] * 4), ".".join(["0" * 4000] * 3) + ".256"]
+    docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in enumerate(texts)], SCHEMA)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.found if s.kind == "ip"] for r in pii.find(docs).collect()}
+    assert found == {k: [s for s in brute.pii(t) if s[0] == "ip"] for k, t in enumerate(texts)}
+    assert [len(found[k]) for k in range(11)] == [1, 2, 1, 1, 1, 1, 0, 0, 0, 1, 0]
+
+
 def test_context_decides_on_kinds_that_need_it(spark):
     texts = ["deadbeef00" * 4, "secret key deadbeef00" + "deadbeef00" * 3, "commit token " + "deadbeef00" * 4]
     docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in enumerate(texts)], SCHEMA)

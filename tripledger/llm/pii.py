@@ -43,7 +43,8 @@ FOR = {
 }
 AGAINST = r"example|version|release|checksum|sha256|sha1|md5|commit|order no|invoice no"
 AROUND = 48
-PART = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+# After the leading zeros nothing more may come: then the part is zero.
+PART = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9]|(?<=0))"
 
 
 def _digits(text: Column) -> Column:

@@ -1,0 +1,56 @@
+"""Near copies of the pipeline against brute-force Jaccard."""
+
+import random
+
+import brute
+import pytest
+from samples import SCHEMA, docs, none, prose, rows, staging, word  # noqa: F401
+
+import corpus_pipeline
+from tripledger.llm import jaccard
+
+
+def shingles(text, width=5):
+    words = brute.words_of(text)
+    return {tuple(words[k:k + width]) for k in range(max(1, len(words) - width + 1))}
+
+
+def wanted(rows, radius=-1):
+    sets, fps = [shingles(r[1]) for r in rows], [brute.simhash(r[1]) for r in rows]
+    return brute.components([r[0] for r in rows], lambda i, j: bin(fps[i] ^ fps[j]).count("1") <= radius or (
+        5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])))
+
+
+@pytest.fixture(scope="module")
+def copies():
+    """Copies with 1 to 40 words changed here and there, of long and short texts."""
+    rng, found = random.Random(5), []
+    for k in range(40):
+        words = prose(rng, rng.choice([6, 30, 200, 900]), 4000).split()
+        found.append(" ".join(words))
+        for _ in range(4):
+            copy = list(words)
+            for _ in range(rng.randrange(1, 2 + len(words) // 25)):
+                copy[rng.randrange(len(copy))] = word(rng.randrange(9000))
+            found.append(" ".join(copy))
+    rng.shuffle(found)
+    return [(k, t, "en", "a", len(t)) for k, t in enumerate(found)]
+
+
+def test_near_copies_against_brute_force(spark, copies, staging):
+    found = {r.doc_id: r.component_id for r in jaccard.classes(spark.createDataFrame(copies, SCHEMA).repartition(5), staging).collect()}
+    want = wanted(copies)
+    assert 40 <= len(set(want)) < len(copies) - 40 and [found[r[0]] for r in copies] == want
+
+
+def test_the_stage_drops_copies_of_similarity_four_fifths(spark, copies):
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(copies, SCHEMA), "")
+    assert {r.doc_id for r in kept.collect()} == set(wanted(copies, radius=4))
+
+
+def test_nulls_ties_repeats_and_empty_tables(docs, rows, none, staging):
+    kept = jaccard.drop_near_copies(docs, staging)
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == docs.columns and set(ids) == set(wanted(rows))
+    assert len(ids) == len(set(ids)) + 3  # rows 0 and 2 are repeated
+    assert jaccard.drop_near_copies(none, staging).count() == 0

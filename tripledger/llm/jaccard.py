@@ -1,0 +1,233 @@
+"""Near copies by the exact Jaccard similarity of word shingles.
+
+Two texts link when the sets of their ``width``-word shingles have a Jaccard similarity of
+``LEAST`` or more. Candidates come from ``BANDS`` tables, each keyed by ``ROWS`` minima of random
+orders of the shingles. A pair of similarity s misses all of them with a chance of
+(1 - s^ROWS)^BANDS, which is 1 in 20,000 at 0.8 and less than 1 in 10^9 at 0.9.
+
+The shingles of texts that share a bucket are written to the shared folder, and read by the task
+that has the bucket. It walks breadth first over the links and gives the edges of a spanning
+forest, never the pairs. A bound on the shared shingles that is never too low, from counts by
+``PARTS`` hash values, spares most exact comparisons. Memory is about 600 bytes for each text of
+the largest bucket. Equal texts are one node.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tripledger.llm.common import full_text
+from tripledger.llm.eliasfano import where
+from tripledger.llm.graph import components
+from tripledger.llm.tokens import VISIBLE, mixed, slices, words
+from tripledger.staging import Staging
+
+LEAST = 0.8
+BANDS, ROWS = 25, 5
+PARTS = 256
+EMPTY = np.uint64(0x5851F42D4C957F2D)
+_DRAW = np.random.default_rng(11)
+FLIPS, TIMES = (_DRAW.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) for _ in range(2))
+TIMES = TIMES * np.uint64(2) + np.uint64(1)
+
+
+def shingles(data: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of a slice's rows, repeats included, and the rows' bounds in them.
+
+    Fewer than ``width`` words make one shingle; a row without words has one that stands for it.
+    """
+    hashes, cuts = words(data, bounds, VISIBLE)
+    sizes = np.diff(cuts)
+    ends = np.repeat(cuts[1:], sizes)
+    at = np.arange(len(hashes))
+    found = np.zeros(len(hashes), np.uint64)
+    for j in range(width):
+        inside = at + j < ends
+        found[inside] = mixed(found[inside] + hashes[at[inside] + j])
+    whole = at + width <= ends
+    whole[cuts[:-1][sizes > 0]] = True
+    made = mixed(found[whole])
+    counts = np.where(sizes > 0, np.maximum(sizes - width + 1, 1), 0)
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    made = np.insert(made, bounds[:-1][counts == 0], EMPTY)
+    return made, np.concatenate([[0], np.cumsum(np.maximum(counts, 1))])
+
+
+def bands(made: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of ``BANDS`` numbers for each row of shingles."""
+    out = np.zeros((len(bounds) - 1, BANDS), np.uint64)
+    for k, (flip, times) in enumerate(zip(FLIPS, TIMES)):
+        least = np.minimum.reduceat((made ^ flip) * times, bounds[:-1])
+        out[:, k // ROWS] = mixed(out[:, k // ROWS] + least)
+    return out
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets, each in order without repeats."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    both = int((b[at] == a).sum())
+    return both / (len(a) + len(b) - both)
+
+
+def forest(keys: np.ndarray, sizes: np.ndarray, read) -> tuple[list[int], list[int]]:
+    """Edges that connect what is linked among the texts of one bucket; ``read`` gives the shingles
+    of the text at a position."""
+    parts = np.zeros((len(keys), PARTS), np.uint16 if sizes.max() < 1 << 16 else np.uint32)
+    for i in range(len(keys)):
+        parts[i] = np.bincount((read(i) >> np.uint64(56)).astype(np.int64), minlength=PARTS)
+    a, b, left = [], [], np.arange(len(keys))
+    while len(left):
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            i = front.pop()
+            # With at most m shared, the similarity is at most m / (both sizes - m).
+            small, large = np.minimum(sizes[left], sizes[i]), np.maximum(sizes[left], sizes[i])
+            fits = np.flatnonzero(small >= LEAST * large * (1 - 1e-9))
+            most = np.concatenate([np.minimum(parts[left[fits[k:k + 4096]]], parts[i]).sum(axis=1, dtype=np.int64)
+                                   for k in range(0, len(fits), 4096)] or [np.empty(0, np.int64)])
+            fits = fits[most >= LEAST * (small[fits] + large[fits] - most) * (1 - 1e-9)]
+            mine = read(i)
+            hit = np.array([k for k in fits if similarity(mine, read(int(left[k]))) >= LEAST], np.int64)
+            for j in left[hit].tolist():
+                a.append(int(keys[i]))
+                b.append(int(keys[j]))
+                front.append(j)
+            left = np.delete(left, hit)
+    return a, b
+
+
+def _signed(docs: DataFrame, width: int) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, bounds in slices(batch.column("text")):
+                found = bands(*shingles(data, bounds, width)).view(np.int64)
+                lists = pa.ListArray.from_arrays(np.arange(0, found.size + 1, BANDS, dtype=np.int32), found.ravel())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id")[lo:hi], batch.column("text_key")[lo:hi], lists],
+                    names=["doc_id", "text_key", "bands"])
+
+    return docs.mapInArrow(work, "doc_id long, text_key long, bands array<long>")
+
+
+def _written(texts: DataFrame, width: int, folder: str) -> DataFrame:
+    """Sets of shingles, one file for each task; where each text's begins and its size."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, at = f"{folder}/{uuid.uuid4().hex}", 0
+        system, plain = where(path)
+        system.create_dir(plain.rpartition("/")[0], recursive=True)
+        with system.open_output_stream(plain, compression=None) as out:
+            for batch in batches:
+                for lo, hi, data, bounds in slices(batch.column("text")):
+                    made, cuts = shingles(data, bounds, width)
+                    sizes, begins = [], []
+                    for s, e in zip(cuts[:-1], cuts[1:]):
+                        found = np.unique(made[s:e])
+                        out.write(found.tobytes())
+                        begins.append(at)
+                        sizes.append(len(found))
+                        at += found.nbytes
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("text_key")[lo:hi], pa.array([path] * (hi - lo)), pa.array(begins, pa.int64()),
+                         pa.array(sizes, pa.int64())], names=["text_key", "path", "at", "n"])
+
+    return texts.mapInArrow(work, "text_key long, path string, at long, n long")
+
+
+def _edges(members: DataFrame) -> DataFrame:
+    """``members`` has ``bucket``, ``text_key`` and the place of its shingles."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files: dict = {}
+        cache: dict = {}
+
+        def fetched(path: str, at: int, n: int) -> np.ndarray:
+            if (path, at) not in cache:
+                if len(files) > 256:
+                    files.clear()
+                if path not in files:
+                    system, plain = where(path)
+                    files[path] = system.open_input_file(plain)
+                if n > 1 << 16:
+                    return np.frombuffer(files[path].read_at(8 * n, at), np.uint64)
+                if len(cache) >= 1024:
+                    cache.clear()
+                cache[path, at] = np.frombuffer(files[path].read_at(8 * n, at), np.uint64)
+            return cache[path, at]
+
+        def of(rows: pa.Table) -> pa.RecordBatch:
+            a, b = [], []
+            bucket = rows["bucket"].to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if hi - lo > 1:
+                    own = rows.slice(lo, hi - lo)
+                    paths, at, n = own["path"].to_pylist(), own["at"].to_pylist(), own["n"].to_numpy()
+                    x, y = forest(own["text_key"].to_numpy(), n, lambda i: fetched(paths[i], at[i], int(n[i])))
+                    a += x
+                    b += y
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            last = batch.column("bucket")[-1].as_py() if len(batch) else None
+            if last is not None and held[0].column("bucket")[0].as_py() != last:  # only the last bucket may go on
+                rows = pa.Table.from_batches(held).combine_chunks()
+                at = int(np.searchsorted(rows["bucket"].to_numpy(), last))
+                yield of(rows.slice(0, at))
+                held = rows.slice(at).to_batches()
+        held = [x for x in held if len(x)]
+        if held:
+            yield of(pa.Table.from_batches(held))
+
+    ordered = members.repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(work, "a long, b long").distinct()
+
+
+def classes(docs: DataFrame, staging: Staging, width: int = 5, more: DataFrame | None = None) -> DataFrame:
+    """``doc_id``, ``text_key``, ``component_id`` and ``keeper`` for every row. ``more`` has further
+    links (a, b) between text keys.
+
+    ``component_id`` is the smallest doc_id reachable over links (a null id counts only where
+    there is no other). ``keeper`` marks the row that stands for its component: the smallest id,
+    then the smallest hash of the text. Texts without words link with each other only. An empty
+    table gives no rows.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), full_text().alias("text"),
+                        F.xxhash64(full_text()).alias("text_key"))
+    rows = staging.put(_signed(texts, width), "bands")
+    keys = F.transform("bands", lambda b, i: F.xxhash64(i, b))
+    buckets = rows.dropDuplicates(["text_key"]).select("text_key", F.explode(keys).alias("bucket"))
+    buckets = staging.put(buckets, "buckets")
+    shared = buckets.groupBy("bucket").count().where("count > 1").select("bucket")
+    members = staging.put(buckets.join(shared, "bucket"), "members")
+    wanted = members.select("text_key").distinct()
+    places = staging.put(_written(texts.join(wanted, "text_key", "left_semi").select("text_key", "text"), width,
+                                  staging.path("shingles")), "places")
+    places = places.groupBy("text_key").agg(F.min(F.struct("path", "at", "n")).alias("place"))
+    edges = _edges(members.join(places, "text_key").select("bucket", "text_key", "place.*"))
+    roots = components(edges if more is None else edges.unionByName(more), staging)
+    placed = staging.put(rows.drop("bands").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
+                         .withColumn("root", F.coalesce("root", "text_key")), "placed")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_key"))
+    joined = placed.join(placed.groupBy("root").agg(best.alias("head")), "root")
+    keeper = (F.col("doc_id").eqNullSafe(F.col("head.doc_id"))
+              & (F.col("text_key") == F.col("head.text_key")))
+    return joined.select("doc_id", "text_key", F.col("head.doc_id").alias("component_id"), keeper.alias("keeper"))
+
+
+def drop_near_copies(docs: DataFrame, staging: Staging, width: int = 5, more: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that stand for their component, with all their columns."""
+    gone = classes(docs, staging, width, more).where(~F.col("keeper")).select(
+        F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_text")).distinct()
+    same = (docs["doc_id"].cast("long").eqNullSafe(gone["_gone_id"])
+            & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_gone_text"]))
+    return docs.join(gone, same, "left_anti")

@@ -1,0 +1,144 @@
+import hashlib
+import random
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from samples import SCHEMA, docs, none, rows, staging, word  # noqa: F401
+
+from tripledger.llm import periodic, queries
+
+
+def runs_of(w, least=24, times=3):
+    """(start, period, length) of all runs, by comparing the words with themselves q further on."""
+    out = []
+    for q in range(1, len(w) // times + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(least, times * q):
+                part = w[i:j + q]
+                if all(any(a != b for a, b in zip(part, part[d:])) for d in range(1, q)):
+                    out.append((i, q, j + q - i))
+            i = j + 1
+    return sorted(out)
+
+
+def collapsed(w, runs):
+    gone = {k for i, q, n in runs for k in range(i + q, i + n)}
+    return " ".join(x for k, x in enumerate(w) if k not in gone)
+
+
+def words_of(text):
+    return [w.decode() for w in (text or "").encode().split()]
+
+
+def planted(doc_id, words):
+    h = crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def repetitive(rng):
+    vocabulary = rng.choice([1, 2, 3, 40])
+    words = [word(rng.randrange(vocabulary)) for _ in range(rng.randrange(0, 250))]
+    for _ in range(rng.randrange(0, 4)):
+        if len(words) > 30:
+            a, p, n = rng.randrange(len(words)), rng.randrange(1, 50), rng.randrange(10, 220)
+            for i in range(a, min(len(words), a + n)):
+                words[i] = words[a + (i - a) % p]
+    return words
+
+
+@pytest.mark.parametrize("tile", [16, 64, 4096])
+def test_runs_against_brute_force(spark, staging, tile):
+    rng = random.Random(tile)
+    texts = [repetitive(rng) for _ in range(60)] + [[word(i % 7) for i in range(1500)], [word(0)] * 700]
+    df = spark.createDataFrame([(k, " \t".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r for r in periodic.find(df.repartition(3), staging, tile=tile).collect()}
+    assert len(found) == len(texts) and sum(len(r.runs) for r in found.values()) > 20
+    for k, w in enumerate(texts):
+        want = runs_of(w)
+        assert [(r.start, r.period, r.length) for r in found[k].runs] == want, k
+        left = collapsed(w, want)
+        assert found[k].digest == hashlib.sha256(left.encode()).hexdigest()
+        assert found[k].collapsed in (left, None) and (found[k].collapsed == left or not want)
+        assert found[k].n_words == len(w)
+
+
+def test_long_runs_pass_many_tiles():
+    ids = np.array([i % 5 for i in range(3000)] + list(range(5, 50)) + [i % 700 for i in range(2500)], np.int32)
+    laid = list(periodic.tiles(ids, 24, 3, tile=32))
+    assert len({t[:2] for t in laid}) > 90
+    found = {(q, low + i, low + j) for s, low, high, begin, end in laid
+             for q, i, j in periodic.solve(ids[low:high], s, begin - low, end - low, len(ids) // 3, 24, 3)}
+    assert {q for q, _, _ in found} == {5, 700}
+
+
+def test_words_that_deceive_the_hash_are_refused():
+    """Thue-Morse words make polynomial hashes modulo 2^64 collide; they have no run of three."""
+    ids = np.array([bin(i).count("1") % 2 for i in range(1 << 13)], np.int32)
+    for s, low, high, begin, end in periodic.tiles(ids, 24, 3):
+        assert not periodic.solve(ids[low:high], s, begin - low, end - low, len(ids) // 3, 24, 3)
+
+
+def test_z_function():
+    rng = random.Random(2)
+    for _ in range(200):
+        u = [rng.randrange(2) for _ in range(rng.randrange(0, 30))]
+        z = periodic.z_function(u)
+        for i in range(len(u)):
+            k = 0
+            while i + k < len(u) and u[k] == u[i + k]:
+                k += 1
+            assert z[i] == k
+
+
+def test_query_plants_runs(spark, docs, rows):
+    found = queries.with_planted_runs(docs).collect()
+    got = sorted((str(r.doc_id), words_of(r.text)) for r in found)
+    want = sorted((str(r[0]), planted(r[0], words_of(r[1]))) for r in rows)
+    assert got == want and sum(crc32(str(r[0]).encode()) % 10 == 0 for r in rows if r[0] is not None) > 3
+
+
+def test_nulls_repeats_and_empty_tables(spark, docs, none, rows, staging):
+    found = periodic.find(docs, staging)
+    assert found.count() == len(rows) and periodic.find(none, staging).count() == 0
+    text = " ".join(["a b c"] * 20)
+    more = spark.createDataFrame([(None, text, "en", "a", 1), (None, text, "en", "a", 1), (7, text, None, None, 1),
+                                  (7, text + " d", None, None, 1), (8, None, None, None, None)], SCHEMA)
+    got = periodic.find(more, staging).select("doc_id", "runs", "collapsed").collect()
+    assert sorted(str((r.doc_id, [tuple(x) for x in r.runs], r.collapsed)) for r in got) == sorted(map(str, [
+        (None, [(0, 3, 60)], "a b c"), (None, [(0, 3, 60)], "a b c"), (7, [(0, 3, 60)], "a b c"),
+        (7, [(0, 3, 60)], "a b c d"), (8, [], None)]))
+    with pytest.raises(ValueError):
+        periodic.find(docs, staging, times=2)
+
+
+def test_query_over_a_table(spark, tmp_path, rows):
+    rng = random.Random(9)
+    data = [(k, " ".join(repetitive(rng)), "en", "a", 1) for k in range(120)] + rows
+    spark.createDataFrame(data, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op13_periodic_runs(spark, str(tmp_path))
+    assert [t for _, t in found.dtypes] == ["bigint", *["bigint"] * 5, "string", "string"]
+    want = []
+    for doc_id, text, *_ in data:
+        w = planted(doc_id, words_of(text))
+        runs = runs_of(w)
+        best = max(runs, key=lambda r: (r[2] / r[1], -r[0], -r[1])) if runs else (None,) * 3
+        lines = "".join(f"{i},{n},{q}\n" for i, q, n in runs)
+        want.append(str((doc_id, len(runs), best[0], best[2], best[1], 1000 * best[2] // best[1] if runs else None,
+                         hashlib.sha256(lines.encode()).hexdigest(),
+                         hashlib.sha256(collapsed(w, runs).encode()).hexdigest())))
+    assert sorted(str(tuple(r)) for r in found.collect()) == sorted(want)
+    assert found.select(F.max("n_runs")).first()[0] >= 2

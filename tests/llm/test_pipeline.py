@@ -51,7 +51,7 @@ def test_stages_return_the_columns_of_documents(docs, none, spark, folder):
 
 def test_registered_names():
     names = list(llm.queries())
-    assert [n for n in names if n == "pipeline"] and {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 11)}
+    assert [n for n in names if n == "pipeline"] and {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 14)}
     assert set(llm.oracle_sql()) <= set(names)
     assert importlib.import_module("__spark_entry__").queries().keys() >= set(names)
 

@@ -73,3 +73,45 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f
 """
+
+ORACLE["op11_importance_resampling"] = r"""
+WITH w AS (
+  SELECT 0 AS side, doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL
+  SELECT 1, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM w)),
+steps AS (SELECT word, list_transform(range(length(h) // 2),
+          lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT) AS bytes FROM v),
+crc AS (SELECT word, xor(4294967295, list_reduce(bytes, lambda c, x: list_reduce(range(8),
+          lambda d, i: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384) ELSE d // 2 END, xor(c, x)),
+          4294967295)) % 10000 AS bucket FROM steps),
+n AS (SELECT side, id, bucket, count(*) AS n FROM w JOIN crc USING (word) GROUP BY ALL),
+b AS (SELECT range AS bucket, coalesce(s, 0) AS s, coalesce(t, 0) AS t FROM range(10000) LEFT JOIN (
+        SELECT bucket, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM n GROUP BY bucket)
+      ON range = bucket),
+g AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM b),
+d AS (SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+      FROM n JOIN g USING (bucket) WHERE side = 0 GROUP BY id),
+r AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT
+          + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+      FROM documents LEFT JOIN d ON id = doc_id),
+k AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (
+        PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+        count(*) FILTER (n_features >= 20) OVER () AS all_ FROM r)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= all_ * 10 // 100 THEN place END AS rank FROM k
+"""
+
+# Exact answers; those of the graph agree with them on tables of one shard.
+ORACLE["op12_nearest_neighbours"] = """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+           WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (SELECT q.vec_id AS query_id, e.vec_id, list_distance(q.v, e.v) AS score
+      FROM e AS q JOIN e ON q.vec_id % 100 = 0 AND q.vec_id <> e.vec_id AND len(q.v) = len(e.v))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank, vec_id, score
+FROM d QUALIFY rank <= 10
+"""

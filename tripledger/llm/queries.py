@@ -8,8 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripledger.llm import decontam, dedup, langid, licenses, mixing, pii, simhash, trie_lm, urlfilter, warc
-from tripledger.llm.common import stage, table
+from tripledger.llm import (
+    decontam,
+    dedup,
+    langid,
+    licenses,
+    mixing,
+    neighbours,
+    periodic,
+    pii,
+    resampling,
+    simhash,
+    trie_lm,
+    urlfilter,
+    warc,
+)
+from tripledger.llm.common import full_text, stage, table
 from tripledger.llm.oracle import ORACLE
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -118,6 +132,52 @@ def op10_license_scan(spark, folder):
         "score")
 
 
+@_query
+def op11_importance_resampling(spark, folder):
+    """Weight and score of every document towards the benchmark's words, and the tenth drawn."""
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), stage(spark))
+
+
+@_query
+def op12_nearest_neighbours(spark, folder):
+    """The ten nearest of all vectors to each whose id is divisible by 100."""
+    rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return neighbours.nearest(rows, rows.where("id % 100 = 0"), stage(spark), k=10)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with runs planted into the texts of about a tenth of the ids, as the query
+    on runs asks: from word a on, a stretch of p words is repeated to the end. A null id is left."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.filter(F.split(full_text(), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n, a = F.size("words"), (F.col("g") % F.size("words")).cast("int")
+    rows = rows.select("doc_id", "text", "g", "words", F.when(n > 0, a).alias("a"))
+    p = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    rows = rows.select("doc_id", "text", "words", "a", p.alias("p"))
+    again = F.transform(F.sequence(F.lit(0), F.size("words") - F.col("a") - 1),
+                        lambda k: F.element_at("words", F.col("a") + k % F.col("p") + 1))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), again), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op13_periodic_runs(spark, folder):
+    """Runs of every document, with planted ones, and the digest of the text without them."""
+    found = periodic.find(with_planted_runs(table(spark, folder, "documents")), stage(spark))
+    # The greatest length / period, compared as whole numbers; ties to the first in order.
+    best = F.aggregate("runs", F.element_at("runs", 1), lambda b, r: F.when(
+        r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    some = F.size("runs") > 0
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.when(some, best).alias("best"),
+                        F.sha2(F.encode(lines, "UTF-8"), 256).alias("runs_sha256"), F.col("digest").alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
 @_query
 def pipeline(spark, folder):
     """All stages of the corpus pipeline."""

@@ -9,13 +9,15 @@ search in a sequence, then one relative to the shorter context. Pointers and key
 sequences, probabilities and back-off weights are 16-bit codes of 1/4096 of a decade.
 
 Smoothing is interpolated absolute discounting over add-one-half unigrams, so every context's
-probabilities add up to one (up to the codes). Discounts are estimated for each shard from its
-numbers of n-grams seen once and twice.
+probabilities add up to one (up to the codes). There is one discount for each order, from the
+numbers of n-grams seen once and twice in all shards together, so that scores do not depend on how
+the levels are cut.
 
 Counts of all training texts are gathered; nothing is pruned. Levels are cut into shards of about
 ``shard_bytes`` of text by ranges of the context id, written to the shared folder and mapped by
-the tasks that score, so memory is that of the pages a task touches. Shuffles carry packed counts,
-one row for each slice of text and shard.
+the tasks that score, so memory is that of the pages a task touches. One shuffle carries packed
+counts, a row for each slice of ``SLICE`` bytes of text and shard; what follows reads the merged
+counts of a shard where they were written. All n-grams that begin with one word are in one shard.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from tripledger.staging import Staging
 
 END = mixed(np.array([1], np.uint64))[0]
 STEP = 4096
+SLICE = 12 << 20
 CODEC = "zstd"
 
 
@@ -61,8 +64,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, np.bincount(which, counts, len(found)).astype(np.int64), which
 
 
-def _discount(counts: np.ndarray) -> float:
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
 
@@ -102,17 +104,24 @@ class Vocabulary:
         return found
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(ids), np.int64)
-        shard = np.searchsorted(self.offsets, ids, side="right") - 1
-        for s in np.unique(shard[(ids >= 0) & (ids < self.size)]):
-            own = (shard == s) & (ids >= 0) & (ids < self.size)
-            found[own] = load(self.paths[s])["count"][ids[own] - self.offsets[s]]
-        return found
+        unique, which = np.unique(ids, return_inverse=True)
+        found = np.zeros(len(unique), np.int64)
+        cuts = np.searchsorted(unique, [*self.offsets, self.size])
+        for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if lo < hi:
+                found[lo:hi] = load(self.paths[s])["count"][unique[lo:hi] - self.offsets[s]]
+        return found[which]
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.size + 1))
 
 
+def _located(sequence: EliasFano, keys: np.ndarray) -> np.ndarray:
+    """Positions of keys, each looked up once and in order."""
+    unique, which = np.unique(keys.astype(np.uint64), return_inverse=True)
+    return sequence.locate(unique)[which]
+
+
 @dataclass
 class Levels:
     """Second and third level by shard; shard s has the contexts from ``bounds[s]`` on."""
@@ -140,15 +149,16 @@ class Levels:
             known = b[own] >= 0
             at = np.full(len(own), -1, np.int64)
             key = first[known] * (self.vocabulary.size + 1) + b[own][known]
-            at[known] = level["key"].locate(key.astype(np.uint64))
+            at[known] = _located(level["key"], key)
             hit = at >= 0
             node[own], code[own] = at, level["back"][first]
             code[own[hit]] = level["prob"][at[hit]]
             place[own[hit]] = at[hit] - level["start"].get(first[hit]).astype(np.int64)
         return node, place, code
 
-    def score(self, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 probability of each token after its context, 0 for the begin marks."""
+    def score(self, tokens: np.ndarray, bounds: np.ndarray, base: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of each token after its context, 0 for the begin marks. ``base`` has
+        those of the tokens without a context, where they are known."""
         out = np.zeros(len(tokens))
         begin = np.zeros(len(tokens), bool)
         begin[bounds[:-1]] = True
@@ -156,7 +166,7 @@ class Levels:
         if not len(at):
             return out
         b, c = tokens[at - 1], tokens[at]
-        base = np.log10(self.vocabulary.unigram(self.vocabulary.counts(c)))
+        base = np.log10(self.vocabulary.unigram(self.vocabulary.counts(c))) if base is None else base[at]
         node, place, code = self.pairs(b, c)
         value = np.where(node >= 0, 0.0, base) - code / STEP
         every = np.full(len(tokens), -1, np.int64)
@@ -173,7 +183,7 @@ class Levels:
             known = place[t] >= 0
             key = u[known] * int(level["room"][0]) + place[t][known]
             inside = place[t][known] < int(level["room"][0])
-            found[known] = np.where(inside, level["key"].locate(key.astype(np.uint64)), -1)
+            found[known] = np.where(inside, _located(level["key"], key), -1)
             hit = found >= 0
             value[t[~hit]] -= weight[~hit] / STEP
             value[t[hit]] = -level["prob"][found[hit]].astype(np.int64) / STEP
@@ -247,7 +257,7 @@ def _ngrams(texts: DataFrame, vocabulary: Vocabulary, bounds: list[int]) -> Data
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, rows in slices(batch.column("text")):
+            for _, _, data, rows in slices(batch.column("text"), SLICE):
                 seq, ends = sequence(*words(data, rows, VISIBLE), vocabulary.ids, vocabulary.size)
                 starts = np.ones(len(seq), bool)
                 starts[ends[1:] - 1] = False  # a pair does not begin at an end
@@ -277,14 +287,11 @@ def _ngrams(texts: DataFrame, vocabulary: Vocabulary, bounds: list[int]) -> Data
                                    "more binary")
 
 
-def _second(packed: DataFrame, vocabulary: Vocabulary, bounds: list[int], staging: Staging) -> DataFrame:
-    """Writes the second level; the merged trigrams go on, packed."""
-    folder = staging.path("second")
-    ends = [*bounds[1:], vocabulary.size + 1]
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merged(packed: DataFrame, shards: int) -> DataFrame:
+    """One row for each shard: its pairs and triples with all their counts, packed, and how many
+    of them occur once and twice."""
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _grouped(batches):
-            low, room = bounds[shard], ends[shard] - bounds[shard]
             keys, n, which = _summed(
                 np.concatenate([np.cumsum(_unpack(r["pairs"], r["n"], np.uint64)) for r in rows]),
                 np.concatenate([_unpack(r["counts"], r["n"], np.int64) for r in rows]))
@@ -297,41 +304,63 @@ def _second(packed: DataFrame, vocabulary: Vocabulary, bounds: list[int], stagin
             threes, m, _ = _summed(np.concatenate(parts), np.concatenate(
                 [_unpack(r["more"], r["m"], np.int64) for r in rows]))
             del parts, which
+            _, kinds = np.unique(keys >> np.uint64(32), return_counts=True)
+            yield pa.RecordBatch.from_pylist([{
+                "shard": shard, "n": len(keys), "m": len(threes), "most": int(kinds.max()),
+                "once": int((n == 1).sum()), "twice": int((n == 2).sum()),
+                "once3": int((m == 1).sum()), "twice3": int((m == 2).sum()),
+                "pairs": _pack(_steps(keys)), "counts": _pack(n), "threes": _pack(_steps(threes)), "more": _pack(m)}])
+
+    return _dealt(packed, shards).mapInArrow(
+        merge, "shard long, n long, m long, most long, once long, twice long, once3 long, twice3 long, "
+               "pairs binary, counts binary, threes binary, more binary")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One shard at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
+def _second(merged: DataFrame, vocabulary: Vocabulary, bounds: list[int], off: float, off3: float,
+            staging: Staging) -> DataFrame:
+    """Writes the second level."""
+    folder = staging.path("second")
+    ends = [*bounds[1:], vocabulary.size + 1]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in _rows(batches):
+            low, room = bounds[r["shard"]], ends[r["shard"]] - bounds[r["shard"]]
+            keys, n = np.cumsum(_unpack(r["pairs"], r["n"], np.uint64)), _unpack(r["counts"], r["n"], np.int64)
             context = (keys >> np.uint64(32)).astype(np.int64) - low
             word = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            total = np.bincount(context, n, room)
-            kinds = np.bincount(context, minlength=room)
-            off = _discount(n)
+            total, kinds = np.bincount(context, n, room), np.bincount(context, minlength=room)
             share = np.where(total > 0, off * kinds / np.maximum(total, 1), 1.0)
             lower = vocabulary.unigram(vocabulary.counts(word))
             prob = (n - off) / total[context] + share[context] * lower
-            node = (threes >> np.uint64(32)).astype(np.int64)
+            node = (np.cumsum(_unpack(r["threes"], r["m"], np.uint64)) >> np.uint64(32)).astype(np.int64)
+            m = _unpack(r["more"], r["m"], np.int64)
             total3, kinds3 = np.bincount(node, m, len(keys)), np.bincount(node, minlength=len(keys))
-            off3 = _discount(m)
             share3 = np.where(total3 > 0, off3 * kinds3 / np.maximum(total3, 1), 1.0)
-            path = f"{folder}/{shard}-{np.random.default_rng().integers(1 << 62):x}"
+            path = f"{folder}/{r['shard']}-{np.random.default_rng().integers(1 << 62):x}"
             universe = vocabulary.size + 1
             begins = np.searchsorted(context, np.arange(room + 1)).astype(np.uint64)
             save(path, {
                 "start": EliasFano.encode(begins, len(keys) + 1), "prob": _code(prob), "back": _code(share),
                 "back2": _code(share3),
                 "key": EliasFano.encode((context * universe + word).astype(np.uint64), room * universe)})
-            yield pa.RecordBatch.from_pylist([{
-                "shard": shard, "path": path, "n": len(keys), "m": len(threes), "most": int(kinds.max()),
-                "off": off3, "pairs": _pack(_steps(keys)), "threes": _pack(_steps(threes)), "more": _pack(m)}])
+            yield pa.RecordBatch.from_pylist([{"shard": r["shard"], "path": path}])
 
-    return _dealt(packed, len(bounds)).mapInArrow(
-        write, "shard long, path string, n long, m long, most long, off double, pairs binary, threes binary, "
-               "more binary")
+    return merged.drop("most").mapInArrow(write, "shard long, path string")
 
 
-def _third(merged: DataFrame, levels: Levels, room: int, staging: Staging) -> DataFrame:
+def _third(merged: DataFrame, levels: Levels, room: int, off: float, staging: Staging) -> DataFrame:
     """Writes the third level, by places among the words after the middle word."""
     folder = staging.path("third")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, rows in _grouped(batches):
-            (r,) = rows
+        for r in _rows(batches):
             keys = np.cumsum(_unpack(r["pairs"], r["n"], np.uint64))
             threes = np.cumsum(_unpack(r["threes"], r["m"], np.uint64))
             m = _unpack(r["more"], r["m"], np.int64)
@@ -339,15 +368,15 @@ def _third(merged: DataFrame, levels: Levels, room: int, staging: Staging) -> Da
             middle = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)[node]
             _, place, code = levels.pairs(middle, (threes & np.uint64(0xFFFFFFFF)).astype(np.int64))
             total, kinds = np.bincount(node, m, len(keys)), np.bincount(node, minlength=len(keys))
-            prob = (m - r["off"]) / total[node] + r["off"] * kinds[node] / total[node] * 10.0 ** (-code / STEP)
-            path = f"{folder}/{shard}-{np.random.default_rng().integers(1 << 62):x}"
+            prob = (m - off) / total[node] + off * kinds[node] / total[node] * 10.0 ** (-code / STEP)
+            path = f"{folder}/{r['shard']}-{np.random.default_rng().integers(1 << 62):x}"
             value = (node * room + place).astype(np.uint64)
             order = np.argsort(value, kind="stable")
             save(path, {"key": EliasFano.encode(value[order], max(1, len(keys)) * room), "prob": _code(prob[order]),
                         "room": np.array([room], np.int64)})
-            yield pa.RecordBatch.from_pylist([{"shard": shard, "path": path}])
+            yield pa.RecordBatch.from_pylist([{"shard": r["shard"], "path": path}])
 
-    return _dealt(merged, len(levels.bounds)).mapInArrow(write, "shard long, path string")
+    return merged.select("shard", "n", "m", "pairs", "threes", "more").mapInArrow(write, "shard long, path string")
 
 
 def learn(docs: DataFrame, staging: Staging, shard_bytes: int = 12 << 20) -> Levels:
@@ -356,14 +385,20 @@ def learn(docs: DataFrame, staging: Staging, shard_bytes: int = 12 << 20) -> Lev
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-size // shard_bytes))
     vocabulary = _vocabulary(texts, (shards - 1).bit_length(), staging)
+    if vocabulary.size >= 1 << 32:
+        raise ValueError(f"{vocabulary.size} distinct words; ids have 32 bits")
     bounds = [s * (vocabulary.size + 1) // shards for s in range(shards)]
     levels = Levels(vocabulary, bounds, [None] * shards, [None] * shards)
-    merged = staging.put(_second(_ngrams(texts, vocabulary, bounds), vocabulary, bounds, staging), "merged")
-    most = 1
-    for r in merged.select("shard", "path", "most").collect():  # one small row per shard
-        levels.second[r.shard], most = r.path, max(most, r.most)
-    for r in _third(merged, levels, most, staging).collect():
-        levels.third[r.shard] = r.path
+    with Staging(docs.sparkSession) as scratch:
+        merged = scratch.put(_merged(_ngrams(texts, vocabulary, bounds), shards), "merged")
+        names = ("once", "twice", "once3", "twice3")
+        found = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
+                           F.coalesce(F.max("most"), F.lit(1)).alias("most")).first()
+        off, off3 = _discount(found.once, found.twice), _discount(found.once3, found.twice3)
+        for r in _second(merged, vocabulary, bounds, off, off3, staging).collect():  # one small row per shard
+            levels.second[r.shard] = r.path
+        for r in _third(merged, levels, found.most, off3, staging).collect():
+            levels.third[r.shard] = r.path
     return levels
 
 
@@ -394,7 +429,7 @@ def score(docs: DataFrame, levels: Levels) -> DataFrame:
                 counts[cuts[:-1]], plain[cuts[:-1]] = 0, 0.0
                 known[lo:hi] = np.add.reduceat((counts > 0).astype(np.int64), cuts[:-1])
                 base[lo:hi] = np.add.reduceat(plain, cuts[:-1])
-                model[lo:hi] = np.add.reduceat(levels.score(seq, cuts), cuts[:-1])
+                model[lo:hi] = np.add.reduceat(levels.score(seq, cuts, plain), cuts[:-1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(tokens), pa.array(known),
                  pa.array(np.full(rows, vocabulary.tokens)), pa.array(base), pa.array(model)],

@@ -19,6 +19,14 @@ def _words(bits: int) -> int:
     return bits // 64 + 2
 
 
+def _repeat(byte: int) -> np.uint64:
+    return np.uint64(byte * 0x0101010101010101)
+
+
+#: Position of the r-th set bit of a byte b, at 8 b + r.
+IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[r] for b in range(256) for r in range(8)], np.int64)
+
+
 def _directory(words: np.ndarray) -> np.ndarray:
     """Set bits before each block of words."""
     padded = np.concatenate([words, np.zeros(-len(words) % BLOCK, np.uint64)])
@@ -42,15 +50,16 @@ def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool) ->
         x[active] = word(at[active])
         have[active] = np.bitwise_count(x[active])
         active = active[rest[active] >= have[active]]
-    place = at * 64
-    for half in (32, 16, 8, 4, 2, 1):
-        lower = x & np.uint64((1 << half) - 1)
-        have = np.bitwise_count(lower).astype(np.int64)
-        go = rest >= have
-        rest = rest - np.where(go, have, 0)
-        x = np.where(go, x >> np.uint64(half), lower)
-        place = place + half * go
-    return place
+    # Set bits of each byte, then of all bytes up to each, in the bytes of one number; the byte that
+    # holds the bit comes after those that hold too few.
+    r = rest.astype(np.uint64)
+    bytes_ = x - ((x >> ONE) & _repeat(0x55))
+    bytes_ = (bytes_ & _repeat(0x33)) + ((bytes_ >> np.uint64(2)) & _repeat(0x33))
+    upto = ((bytes_ + (bytes_ >> np.uint64(4))) & _repeat(0x0F)) * _repeat(1)
+    shift = np.bitwise_count((((r * _repeat(1)) | _repeat(0x80)) - upto) & _repeat(0x80)).astype(np.uint64) << np.uint64(3)
+    r -= ((upto << np.uint64(8)) >> shift) & np.uint64(255)
+    inside = IN_BYTE[(((x >> shift) & np.uint64(255)) << np.uint64(3)) | r]
+    return at * 64 + shift.astype(np.int64) + inside
 
 
 class EliasFano:

@@ -49,7 +49,9 @@ def rows():
 def docs(spark, rows):
     """The sample, over several partitions, with extra columns whose names the operators use."""
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    for name in ("keep_id", "fp", "root", "copies", "target", "text_key", "shard", "key", "_id", "_text", "grams"):
+    for name in ("keep_id", "fp", "root", "copies", "target", "text_key", "shard", "key", "_id", "_text", "grams",
+                 "ll", "prior", "posterior", "confidence", "language", "kept", "row", "id", "_key", "_copies", "_without_id",
+                 "host", "declared", "tie", "rank", "score", "_tie", "document", "runs", "words", "period"):
         df = df.withColumn(name, F.lit("x"))
     return df
 

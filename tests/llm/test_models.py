@@ -32,7 +32,7 @@ def labelled(spark):
 
 
 def test_held_out_accuracy_and_what_is_rejected(spark, labelled, staging):
-    model = langid.fit(labelled.where("doc_id % 5 <> 0").selectExpr("text", "lang AS label"))
+    model = langid.fit(labelled.where("doc_id % 5 <> 0").selectExpr("text", "lang AS label"), staging)
     asked = labelled.where("doc_id % 5 = 0").selectExpr(
         "doc_id", "text", "cast(null as string) AS declared", "cast(null as string) AS host", "cast(null as string) AS suffix", "lang AS truth")
     found = langid.identify(asked, model, staging).collect()
@@ -44,7 +44,7 @@ def test_held_out_accuracy_and_what_is_rejected(spark, labelled, staging):
 
 
 def test_other_evidence_decides_where_the_text_is_weak(spark, labelled, staging):
-    model = langid.fit(labelled.selectExpr("text", "lang AS label"))
+    model = langid.fit(labelled.selectExpr("text", "lang AS label"), staging)
     weak = " la "
 
     def language(declared, host, suffix):
@@ -60,10 +60,84 @@ def test_other_evidence_decides_where_the_text_is_weak(spark, labelled, staging)
 
 
 def test_markup_and_address(spark):
-    pages = [('<html lang="de-AT">', "http://a.fr/x"), ("<!DOCTYPE html><HTML class=a LANG=fr>", "b.co.uk"), ("<p lang=es>", "x.org"), (None, None)]
+    pages = [('<html lang="de-AT">', "http://a.fr/x"), ("<!DOCTYPE html><HTML class=a LANG=fr>", "b.co.uk"), ("<p lang=es>", "x.org"), (None, None),
+             ("<!--" + "x" * 9000 + "-->\n<html dir=ltr lang='pt-BR'>", "x.pt")]
     got = spark.createDataFrame(pages, "html string, host string").select(
         langid.markup_language(F.col("html")), langid.suffix_language(F.regexp_replace("host", "^http://|/.*$", ""))).collect()
-    assert [tuple(r) for r in got] == [("de", "fr"), ("fr", "en"), (None, None), (None, None)]
+    assert [tuple(r) for r in got] == [("de", "fr"), ("fr", "en"), (None, None), (None, None), ("pt", "pt")]
+
+
+def test_posterior_against_plain_python(spark, labelled, staging):
+    """Every kind of evidence, from the model's tables on, by plain loops."""
+    model = langid.fit(labelled.selectExpr("text", "lang AS label"), staging)
+    names, weight, smooth = list(model), 60, 20.0
+    rng = random.Random(8)
+    made = []
+    for k in range(80):
+        text = rng.choice([None, "", "7 8", " ".join(rng.choices(SAMPLES[rng.choice(["en", "de", "fr"])].split(), k=rng.randrange(1, 30)))])
+        made.append((k, text, rng.choice(["en", "de", "xx", None]), rng.choice(["a.x.de", "b.x.de", "x.de", "solo", None]),
+                     rng.choice(["de", "fr", None]), "old"))
+    df = spark.createDataFrame(made, "doc_id long, text string, declared string, host string, suffix string, ll string")
+
+    def grams(text):
+        data = (text or "").translate(brute.AZ).encode()
+        code = [0 if 48 <= b < 58 else int(langid.LETTERS[b]) for b in data]
+        found = []
+        for a, b, c in zip(code, code[1:], code[2:]):
+            if (a | c) * b or a & c:
+                found.append((((a << 16) | (b << 8) | c) * 2654435761 & 0xFFFFFFFF) >> 17)
+        return found
+
+    def softmax(logs):
+        top = max(logs)
+        return [math.exp(x - top) / sum(math.exp(y - top) for y in logs) for x in logs]
+    own, counts = {}, Counter()
+    for k, text, _, host, _, _ in made:
+        g = grams(text)
+        scale = min(1.0, weight / max(1, len(g)))
+        own[k] = len(g), [scale * sum(float(model[n][b]) for b in g) for n in names]
+        if g:
+            for i, p in enumerate(softmax(own[k][1])):
+                for level in {("all",), ("host", host), *([("up", host.split(".", 1)[1])] if host and "." in host else [])}:
+                    counts[level, i] += p
+
+    def prior(level, towards):
+        n = [counts[level, i] for i in range(len(names))]
+        return [(x + smooth * t) / (sum(n) + smooth) for x, t in zip(n, towards)]
+    whole = prior(("all",), [1 / len(names)] * len(names))
+    for r in langid.identify(df, model, staging).collect():
+        k, _, declared, host, suffix, _ = made[r.doc_id]
+        up = prior(("up", host.split(".", 1)[1]), whole) if host and "." in host else whole
+        before = prior(("host", host), up) if host and any(counts[("host", host), i] for i in range(len(names))) else whole
+        logs = [a + math.log(b) for a, b in zip(own[k][1], before)]
+        for said, right in ((declared, 0.8), (suffix, 0.6)):
+            if said in names[:-1]:
+                logs = [x + math.log(1 / (len(names) - 1) if n == "und" else right if n == said else (1 - right) / (len(names) - 2))
+                        for x, n in zip(logs, names)]
+        p = softmax(logs)
+        language = names[p.index(max(p))] if own[k][0] else "und"
+        assert (r.language, r.ll) == (language, "old") and math.isclose(r.confidence, max(p), rel_tol=1e-5)
+        assert r.kept == (language != "und" and max(p) >= 0.5)
+
+
+def test_every_label_is_learned_from_distinct_texts(spark, staging):
+    made = [(f"common words {k} of one kind" if k % 2 else "the same text again", "en") for k in range(400)]
+    df = spark.createDataFrame(made + [("seltene worte", "de"), (None, "fr"), ("x y", None)], "text string, label string")
+    assert list(langid.fit(df.repartition(4), staging, rows=20)) == ["de", "en", "und"]
+    assert langid._chosen(df.where("label = 'en'"), 20, 5, staging).count() == 20
+    assert list(langid.fit(df.limit(0), staging)) == ["und"]
+
+
+def test_pages_are_judged_by_all_their_evidence(spark, labelled, staging):
+    model = langid.fit(labelled.selectExpr("text", "lang AS label"), staging)
+    html = "<!-- the --><html lang=fr><script>the house and the river</script><p>la <b>maison</b></p></html>"
+    pages = spark.createDataFrame([(1, "http://w.x.fr/a", html), (2, "odd", "<p>" + SAMPLES["de"] + "</p>"), (3, None, None)],
+                                  "page_id long, url string, html string")
+    rows = {r.page_id: r for r in langid.page_rows(pages).collect()}
+    assert (rows[1].text.split(), rows[1].declared, rows[1].host, rows[1].suffix) == (["la", "maison"], "fr", "w.x.fr", "fr")
+    found = {r.page_id: r for r in langid.identify(langid.page_rows(pages), model, staging).collect()}
+    assert (found[1].language, found[2].language, found[3].kept) == ("fr", "de", False)
+    assert (rows[2].host, rows[3].host) == (None, None)
 
 
 def test_rejecting_keeps_clean_documents_and_columns(docs, rows, none, staging):
@@ -202,9 +276,8 @@ def test_scores_against_plain_counts(docs, rows, staging, shard_bytes):
             held[r.doc_id], len(s) - 1, sum(one[w] > 0 for w in s[1:]), tokens)
         assert math.isclose(r.base_score, sum(math.log10(unigram(w)) for w in s[1:]), rel_tol=1e-12)
         assert r.score <= 0
-        if len(levels.bounds) == 1:  # shards have discounts of their own
-            want = math.log10(bigram(*s[:2])) + sum(math.log10(trigram(*s[k:k + 3])) for k in range(len(s) - 2))
-            assert abs(r.score - want) <= 5e-4 * len(s)
+        want = math.log10(bigram(*s[:2])) + sum(math.log10(trigram(*s[k:k + 3])) for k in range(len(s) - 2))
+        assert abs(r.score - want) <= 5e-4 * len(s)
 
 
 def test_held_out_texts_with_phrases_score_better_than_words_alone(spark, staging):
@@ -217,6 +290,26 @@ def test_held_out_texts_with_phrases_score_better_than_words_alone(spark, stagin
     assert r.model > 0.6 * r.base
 
 
+def test_scores_do_not_depend_on_the_shards(spark, staging):
+    """One word is a third of all tokens."""
+    rng = random.Random(12)
+    made = [(k, " ".join("hot" if rng.random() < 0.33 else prose(rng, 1) for _ in range(rng.randrange(1, 120))), None, None, 0)
+            for k in range(150)]
+    docs = spark.createDataFrame(made, SCHEMA).repartition(4)
+    found = []
+    for size in (12 << 20, 20_000, 1000):
+        levels = trie_lm.learn(docs, staging, size)
+        found.append({r.doc_id: r.score for r in trie_lm.score(docs, levels).collect()})
+    assert len(levels.bounds) > 30
+    assert all(abs(found[0][k] - other[k]) < 1e-9 for other in found[1:] for k in found[0])
+
+
+def test_too_many_words_are_an_error(spark, docs, staging, monkeypatch):
+    monkeypatch.setattr(trie_lm, "_vocabulary", lambda *_: trie_lm.Vocabulary([], [], 0, 1 << 32, 1))
+    with pytest.raises(ValueError, match="32 bits"):
+        trie_lm.learn(docs, staging)
+
+
 def test_each_context_adds_up_to_one(docs, staging):
     levels = trie_lm.learn(docs, staging, 3000)
     size = levels.vocabulary.size

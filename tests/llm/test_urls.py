@@ -2,7 +2,7 @@ import re
 
 from samples import staging  # noqa: F401
 
-from tripledger.llm import urlfilter
+from tripledger.llm import bloom, urlfilter
 from tripledger.llm.queries import RULES
 
 URLS = ["http://a.b/", "HTTP://A.B:80#x", "https://a.b:443?x=1&utm_source=q&a=2", "https://a.b/?a=2&x=1", "no scheme", None, "",
@@ -22,22 +22,36 @@ def expected(url, listed):
     return host, path, None, "block" if listed else "allow"
 
 
-def test_every_url_is_judged(spark):
+def test_every_url_is_judged(spark, staging):
     pages = spark.createDataFrame([(k, u, "x") for k, u in enumerate(URLS)], "page_id long, url string, key string")
     lists = spark.createDataFrame([("http://a.b",), ("http://a.b",), (None,), ("https://a.b/?x=1&a=2#frag",), ("nothing",)], "url string")
     listed = {0, 1, 2, 3, 21}
-    for blocks in (1, 64, urlfilter.BLOCKS):  # one block is full of bits: the join decides
-        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(pages, lists, RULES, blocks).collect()}
+    for blocks in (1, 64, None):  # one block is full of bits: the join decides
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(pages, lists, RULES, staging, blocks).collect()}
         assert got == {k: expected(u, k in listed) for k, u in enumerate(URLS)}
-    assert urlfilter.judge(pages.limit(0), lists, RULES).count() == 0
-    assert urlfilter.judge(pages, lists.limit(0), RULES).where("verdict = 'block' AND rule IS NULL").count() == 0
+    assert urlfilter.judge(pages.limit(0), lists, RULES, staging).count() == 0
+    assert urlfilter.judge(pages, lists.limit(0), RULES, staging).where("verdict = 'block' AND rule IS NULL").count() == 0
 
 
 def test_a_filter_holds_all_its_keys_and_few_others(spark):
     keys = spark.range(5000).selectExpr("concat('u', id) AS key")
-    filters = urlfilter.bloom(keys, 256)
+    filters = bloom.bloom(keys, 256)
     assert filters.count() <= 256
-    inside = urlfilter.maybe_listed(keys, filters, blocks=256)
+    inside = bloom.maybe_listed(keys, filters, blocks=256)
     assert inside.where("NOT maybe").count() == 0
-    others = urlfilter.maybe_listed(spark.range(5000).selectExpr("concat('v', id) AS key"), filters, blocks=256)
+    others = bloom.maybe_listed(spark.range(5000).selectExpr("concat('v', id) AS key"), filters, blocks=256)
     assert others.where("maybe").count() < 250
+
+
+def test_the_filter_grows_with_its_list_up_to_a_bound():
+    sizes = [bloom.blocks_for(n) for n in (0, 1, 2048, 2049, 100_000, 10**7, 10**12)]
+    assert sizes == [64, 64, 64, 128, 4096, bloom.MOST_BLOCKS, bloom.MOST_BLOCKS]
+
+
+def test_list_beyond_the_bound_is_joined_by_merging(spark, staging, monkeypatch):
+    monkeypatch.setattr(urlfilter, "MOST_BLOCKS", 0)
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(URLS)], "page_id long, url string")
+    lists = spark.createDataFrame([("http://a.b",)], "url string")
+    found = urlfilter.judge(pages, lists, RULES, staging)
+    assert "ShuffledHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.page_id for r in found.where("rule IS NULL AND verdict = 'block'").collect()} == {0, 1, 21}

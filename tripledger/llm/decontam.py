@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.llm.common import full_text
+from tripledger.llm.common import full_text, without
 from tripledger.llm.tokens import ALNUM, mixed, slices, words
 from tripledger.staging import Staging
 
@@ -210,9 +210,7 @@ def _searcher(items, share: float, walks: int, tables: int, picks: int):
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, staging: Staging, **how) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    gone = contaminated(docs, items, staging, **how).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
-    same = (docs["doc_id"].cast("long").eqNullSafe(gone["_id"])
-            & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_text"]))
-    return docs.join(gone, same, "left_anti")
+    """The rows of ``docs`` that hold no item, with all their columns. Null and empty texts hold none;
+    repeated rows go or stay together; an empty table gives no rows, and without items all stay."""
+    gone = contaminated(docs, items, staging, **how)
+    return without(docs, gone.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")), staging)

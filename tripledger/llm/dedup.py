@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.llm.common import full_text
+from tripledger.llm.common import full_text, row_key, without
 from tripledger.staging import Staging
 
 BUDGET = 64 << 20
@@ -238,7 +238,7 @@ def _digest():
     return F.sha2(F.encode(full_text(), "UTF-8"), 256)
 
 
-def marked(docs: DataFrame, largest: bool = False) -> DataFrame:
+def marked(docs: DataFrame, staging: Staging, largest: bool = False) -> DataFrame:
     """Every row's ``doc_id``, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
 
     Exactly one row of each text is kept: of rows that repeat both the id and the text, which
@@ -247,10 +247,10 @@ def marked(docs: DataFrame, largest: bool = False) -> DataFrame:
     own = owners(docs, largest).select(F.col("sha").alias("text_sha256"), "keep_id",
                                        F.col("rows").alias("group_size"), "same")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("text_sha256"))
-    found = rows.join(own, "text_sha256").select(
+    found = staging.put(rows.join(own, "text_sha256").select(
         "doc_id", "keep_id", "group_size", "text_sha256",
         F.when(F.col("doc_id").eqNullSafe(F.col("keep_id")),
-               F.when(F.col("same") > 1, "tied").otherwise("kept")).otherwise("gone").alias("fate"))
+               F.when(F.col("same") > 1, "tied").otherwise("kept")).otherwise("gone").alias("fate")), "fates")
     # Rows that tie are counted and dealt out again, so that a window over a hot id is not needed.
     tied = found.where("fate = 'tied'").groupBy(*found.columns).count().select(
         *found.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"))).alias("k"))
@@ -260,19 +260,24 @@ def marked(docs: DataFrame, largest: bool = False) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, staging: Staging, largest: bool = False) -> DataFrame:
-    """The one row of each text that stays, with all its columns. Of rows that repeat both the
-    id and the text, any one stays."""
+    """The one row of each text that stays, with all its columns. Null text is empty. Of rows that
+    repeat both the id and the text, any one stays. An empty table gives no rows.
+
+    Only the rows of texts that several rows share are asked for, by a digest; a text that rows
+    with the id that stays share is reduced to one row, in every task before the shuffle.
+    """
     own = staging.put(owners(docs, largest).select("sha", "keep_id", "same", "rows"), "owners")
     shared = own.where("rows > 1")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("sha"))
-    gone = rows.join(shared, "sha").where(
-        ~F.col("doc_id").eqNullSafe(F.col("keep_id")) | (F.col("same") > 1)).select(
-        F.col("doc_id").alias("_id"), F.col("sha").alias("_sha")).distinct()
-    ties = shared.where("same > 1").select(F.col("keep_id").alias("_id"), F.col("sha").alias("_sha"))
-
-    def same(other: DataFrame):
-        return (docs["doc_id"].cast("long").eqNullSafe(other["_id"])
-                & (F.sha2(F.encode(F.coalesce(docs["text"], F.lit("")), "UTF-8"), 256)
-                   == other["_sha"]))
-    once = docs.join(ties, same(ties), "left_semi").dropDuplicates(["doc_id", "text"])
-    return docs.join(gone, same(gone), "left_anti").unionByName(once)
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), _digest().alias("sha"), row_key().alias("key"))
+    found = rows.join(shared, "sha")
+    kept = F.col("id").eqNullSafe(F.col("keep_id"))
+    gone = staging.put(found.where(~kept | (F.col("same") > 1)).select("id", "key", (kept).alias("tie")).distinct(), "copies")
+    ties = gone.where("tie").select("id", "key")
+    stay = without(docs, gone, staging)
+    if ties.isEmpty():
+        return stay
+    # Which columns the row that stays has does not matter, but they must be one row's.
+    again = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"), row_key().alias("_key"))
+    again = again.join(ties, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left_semi")
+    once = again.groupBy("_id", "_key").agg(F.first("row").alias("row"))
+    return stay.unionByName(once.select("row.*"))

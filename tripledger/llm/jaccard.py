@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.llm.common import full_text
+from tripledger.llm.common import full_text, without
 from tripledger.llm.eliasfano import where
 from tripledger.llm.graph import components
 from tripledger.llm.tokens import VISIBLE, mixed, slices, words
@@ -225,9 +225,7 @@ def classes(docs: DataFrame, staging: Staging, width: int = 5, more: DataFrame |
 
 
 def drop_near_copies(docs: DataFrame, staging: Staging, width: int = 5, more: DataFrame | None = None) -> DataFrame:
-    """The rows of ``docs`` that stand for their component, with all their columns."""
-    gone = classes(docs, staging, width, more).where(~F.col("keeper")).select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_text")).distinct()
-    same = (docs["doc_id"].cast("long").eqNullSafe(gone["_gone_id"])
-            & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_gone_text"]))
-    return docs.join(gone, same, "left_anti")
+    """The rows of ``docs`` that stand for their component, with all their columns. Nulls, empty
+    texts and repeated rows as in ``classes``; an empty table gives no rows."""
+    gone = classes(docs, staging, width, more).where(~F.col("keeper"))
+    return without(docs, gone.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")), staging)

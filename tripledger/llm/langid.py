@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripledger.llm.common import full_text
+from tripledger.llm.common import full_text, row_key, without
 from tripledger.llm.tokens import ALNUM, slices
+from tripledger.llm.urlfilter import host_of
 from tripledger.staging import Staging
 
 BUCKETS = 1 << 15
@@ -34,9 +35,9 @@ SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "e
 
 
 def markup_language(html: Column) -> Column:
-    """The primary code in ``lang`` of the ``html`` element, in lower case; null without one."""
-    found = F.lower(F.regexp_extract(
-        F.substring(html, 1, 4096), r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})""", 1))
+    """The primary code in ``lang`` of the first ``html`` element, wherever it stands, in lower case;
+    null without one."""
+    found = F.lower(F.regexp_extract(html, r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})""", 1))
     return F.when(found != "", found)
 
 
@@ -62,15 +63,27 @@ def _trigrams(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return found
 
 
-def fit(labelled: DataFrame, rows: int = 20_000, seed: int = 5) -> dict[str, np.ndarray]:
+def _chosen(labelled: DataFrame, rows: int, seed: int, staging: Staging) -> DataFrame:
+    """At most ``rows`` distinct texts of each label, those of the least hashes, once each. Only
+    hashes are ranked, and each task passes on no more than ``rows`` of a label."""
+    hashed = labelled.select("label", F.xxhash64(F.lit(seed), "text").alias("hash"))
+    best = Window.partitionBy("label").orderBy("hash")
+    some = hashed.distinct().withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= rows)
+    some = staging.put(some.select(F.col("label").alias("_label"), F.col("hash").alias("_hash")), "chosen")
+    own = labelled.select("label", "text", F.xxhash64(F.lit(seed), "text").alias("hash"))
+    return own.join(some, (F.col("label") == F.col("_label")) & (F.col("hash") == F.col("_hash")), "left_semi").groupBy(
+        "label", "hash").agg(F.first("text").alias("text")).select("label", "text")
+
+
+def fit(labelled: DataFrame, staging: Staging, rows: int = 5_000, seed: int = 5) -> dict[str, np.ndarray]:
     """Log probabilities of the buckets for each language of ``text`` and ``label``.
 
-    Fitted on about ``rows`` labelled rows, chosen by a hash of the text, or on all if there are
-    no more. Counts are added up by Spark; languages times ``BUCKETS`` numbers reach the driver.
+    Fitted on at most ``rows`` distinct texts of each label, chosen by a hash of the text, so every
+    label that occurs is learned at any size, and copies count once. Null texts and labels are left
+    out; an empty table gives a model of ``und`` alone. Counts are added up by Spark; languages
+    times ``BUCKETS`` numbers reach the driver.
     """
-    labelled = labelled.where("label IS NOT NULL AND text IS NOT NULL")
-    share = min(1.0, rows / max(1, labelled.count()))
-    chosen = labelled.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = _chosen(labelled.where("label IS NOT NULL AND text IS NOT NULL"), rows, seed, staging)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -99,7 +112,8 @@ def fit(labelled: DataFrame, rows: int = 20_000, seed: int = 5) -> dict[str, np.
 
 
 def text_evidence(rows: DataFrame, model: dict[str, np.ndarray], weight: int) -> DataFrame:
-    """``rows`` with ``text`` replaced by ``grams`` and ``ll``: log likelihoods in the model's order."""
+    """``rows`` with ``text`` replaced by ``grams`` and ``ll``: log likelihoods in the model's order.
+    ``rows`` has no other columns of these names."""
     tables = list(model.values())
     keep = [c for c in rows.columns if c != "text"]
 
@@ -138,12 +152,16 @@ def identify(rows: DataFrame, model: dict[str, np.ndarray], staging: Staging, we
     """Columns of ``rows`` without ``text``, and ``language``, ``confidence``, ``kept``.
 
     ``rows`` has ``text``, ``declared``, ``host`` and ``suffix`` besides any others; each may be
-    null and then says nothing (a null text is empty). A row is kept if a language, not ``und``,
-    has at least ``least`` of the posterior. A text without letters has no evidence of its own
-    and is not kept. An empty table gives no rows.
+    null and then says nothing (a null text is empty). Columns that are called like the three
+    results give way to them. A row is kept if a language, not ``und``, has at least ``least`` of
+    the posterior. A text without letters has no evidence of its own and is not kept. Repeated rows
+    are judged alike. An empty table gives no rows.
     """
     names = list(model)
-    scored = staging.put(text_evidence(rows.withColumn("text", full_text()), model, weight), "evidence")
+    keep = [c for c in rows.columns if c not in ("text", "language", "confidence", "kept")]
+    # The columns of the caller stay together, apart from those this function works with.
+    evidence = rows.select(F.struct(*keep).alias("row"), full_text().alias("text"), "declared", "host", "suffix")
+    scored = staging.put(text_evidence(evidence, model, weight), "evidence")
     own = _softmax(F.col("ll"))
     parent = F.when(F.col("host").contains("."), F.regexp_replace("host", r"^[^.]*\.", ""))
     soft = scored.where("grams > 0").select(F.col("host"), parent.alias("parent"), own.alias("p"))
@@ -181,35 +199,48 @@ def identify(rows: DataFrame, model: dict[str, np.ndarray], staging: Staging, we
     declared, suffix = says("declared", declared_right), says("suffix", suffix_right)
     prior = F.coalesce(F.col("prior"), whole)
     logs = F.array(*[F.col("ll")[i] + declared[i] + suffix[i] + F.log(prior[i]) for i in range(len(names))])
-    fused = joined.withColumn("posterior", _softmax(logs)).withColumn(
-        "confidence", F.array_max("posterior"))
-    language = F.element_at(F.array(*map(F.lit, names)),
-                            F.array_position("posterior", F.col("confidence")).cast("int"))
+    # Written, so that a filter on the result does not have Spark write the fusion out once more
+    # for each column that the filter needs.
+    fused = staging.put(joined.select("row", "grams", _softmax(logs).alias("posterior")), "fused")
+    best = F.array_max("posterior")
+    language = F.element_at(F.array(*map(F.lit, names)), F.array_position("posterior", best).cast("int"))
     language = F.when(F.col("grams") > 0, language).otherwise(NONE)
-    keep = [c for c in rows.columns if c != "text"]
-    return fused.withColumn("language", language).select(
-        *keep, "language", "confidence",
-        ((F.col("language") != NONE) & (F.col("confidence") >= least)).alias("kept"))
+    return fused.select("row.*", language.alias("language"), best.alias("confidence"),
+                        ((language != NONE) & (best >= least)).alias("kept"))
 
 
 def document_rows(docs: DataFrame) -> DataFrame:
-    """Documents as evidence: ``lang`` is what they declare and ``source`` is their host."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(full_text()).alias("text_key"),
+    """Documents as evidence: ``lang`` is what they declare and ``source`` is their host. Nulls stay
+    null; a row for every row."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(*_told(docs)).alias("key"),
                        F.col("text"), F.lower("lang").alias("declared"), F.col("source").alias("host"),
                        suffix_language(F.col("source")).alias("suffix"))
 
 
+def _told(docs: DataFrame) -> list[Column]:
+    """What decides on a document besides its text."""
+    return [F.lower("lang"), F.col("source")]
+
+
+def page_rows(pages: DataFrame) -> DataFrame:
+    """Pages as evidence: the html without its elements, the language it declares, the host of the
+    url and its suffix. Null html has no text, a null or odd url no host."""
+    bare = F.regexp_replace(F.col("html"), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    host = F.nullif(host_of(F.col("url")), F.lit(""))
+    return pages.select("page_id", bare.alias("text"), markup_language(F.col("html")).alias("declared"),
+                        host.alias("host"), suffix_language(host).alias("suffix"))
+
+
 def documents(docs: DataFrame, staging: Staging, **how) -> DataFrame:
-    model = fit(docs.select("text", F.lower("lang").alias("label")))
+    """``doc_id``, ``key``, ``declared``, ``host``, ``suffix``, ``language``, ``confidence`` and ``kept`` of every
+    row, under a model fitted on the rows' own ``lang``. Nulls, empty texts, repeated rows and empty
+    tables as in ``identify``."""
+    model = fit(docs.select("text", F.lower("lang").alias("label")), staging)
     return identify(document_rows(docs), model, staging, **how)
 
 
 def drop_rejected(docs: DataFrame, staging: Staging, **how) -> DataFrame:
-    """The rows of ``docs`` whose language is told, with all their columns."""
-    gone = documents(docs, staging, **how).where("NOT kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("declared").alias("_declared"),
-        F.col("host").alias("_host")).distinct()
-    same = (docs["doc_id"].cast("long").eqNullSafe(gone["_id"])
-            & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_text"])
-            & F.lower(docs["lang"]).eqNullSafe(gone["_declared"]) & docs["source"].eqNullSafe(gone["_host"]))
-    return docs.join(gone, same, "left_anti")
+    """The rows of ``docs`` whose language is told, with all their columns. Rows without two letters
+    in a row go; repeated rows go or stay together; an empty table gives no rows."""
+    gone = documents(docs, staging, **how).where("NOT kept").select(F.col("doc_id").alias("id"), "key")
+    return without(docs, gone, staging, *_told(docs))

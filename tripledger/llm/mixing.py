@@ -114,14 +114,14 @@ def mix(docs: DataFrame, staging: Staging, weights: list[float] = (3, 1, 2), sha
 
 
 def mixed_documents(docs: DataFrame, staging: Staging, **how) -> DataFrame:
-    """The rows of ``docs`` that the mix takes at least once, with ``copies`` and ``target``."""
+    """The rows of ``docs`` that the mix takes at least once, with ``copies`` and ``target``, to which
+    columns of these names give way. Rows that repeat an id, a text and a source have the most
+    copies that any of them is given. Nulls, empty texts and empty tables as in ``mix``."""
     taken = mix(docs, staging, **how).where("copies > 0").groupBy("doc_id", "text_key", "source").agg(
         F.max("copies").alias("copies"), F.first("target").alias("target"))
-    taken = taken.toDF("_id", "_text", "_source", "_copies", "_target")
-    same = (docs["doc_id"].cast("long").eqNullSafe(taken["_id"])
-            & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == taken["_text"])
-            & docs["source"].eqNullSafe(taken["_source"]))
-    clean = [c for c in docs.columns if c not in ("copies", "target")]
-    return docs.join(taken, same).select(*[docs[c] for c in clean],
-                                         F.col("_copies").alias("copies"),
-                                         F.col("_target").alias("target"))
+    rows = docs.select(F.struct(*[c for c in docs.columns if c not in ("copies", "target")]).alias("row"),
+                       F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(full_text()).alias("own_key"),
+                       F.col("source").alias("own_source"))
+    same = (F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key"))
+            & F.col("own_source").eqNullSafe(F.col("source")))
+    return rows.join(taken, same).select("row.*", "copies", "target")

@@ -77,7 +77,7 @@ def op3_personal_data(spark, folder):
 @_query
 def op4_exact_dedup(spark, folder):
     """One row per document, the largest doc_id of equal texts stays."""
-    return dedup.marked(table(spark, folder, "documents"), largest=True)
+    return dedup.marked(table(spark, folder, "documents"), stage(spark), largest=True)
 
 
 @_query
@@ -95,6 +95,17 @@ def op6_language_id(spark, folder):
     return found.select("doc_id", "declared", "language", F.round("confidence", 6).alias("confidence"), "kept")
 
 
+@_query
+def page_language(spark, folder):
+    """The language of every page, from its text, the one its markup declares, its address and its
+    host, under the model of the documents."""
+    docs = table(spark, folder, "documents")
+    model = langid.fit(docs.select("text", F.lower("lang").alias("label")), stage(spark))
+    found = langid.identify(langid.page_rows(table(spark, folder, "pages")), model, stage(spark))
+    return found.select("page_id", "declared", "host", "suffix", "language",
+                        F.round("confidence", 6).alias("confidence"), "kept")
+
+
 @_query
 def op7_url_filter(spark, folder):
     """Every page's url against the rules and a list. The tables hold no list; it is made of the
@@ -102,7 +113,7 @@ def op7_url_filter(spark, folder):
     pages = table(spark, folder, "pages")
     listed = pages.where(F.substring(F.md5(F.encode(urlfilter.canonical(F.col("url")), "UTF-8")),
                                      1, 1) == "0").select("url")
-    return urlfilter.judge(pages, listed, RULES).select(
+    return urlfilter.judge(pages, listed, RULES, stage(spark)).select(
         "page_id", "host", "path", "rule", "verdict")
 
 

@@ -1,10 +1,10 @@
 """URL filter: rules by host and path, then a list of canonical URLs behind a Bloom filter.
 
-The filter is a table of ``blocks`` blocks of 512 bits, one row each, built by one aggregation
-over the list. Its size has a bound that the list cannot change (64 bytes a block), so it is
-broadcast. A URL sets ``probes`` bits of one block; only URLs whose bits are all set go on to an
-exact hash join with the list, which removes the false positives. A longer list fills the filter
-and sends more URLs to the join, but results stay exact. All of it is DataFrame code.
+The filter is sized by the list, up to a bound (``bloom.MOST_BLOCKS``), and sent to all tasks. Only
+URLs whose bits are all set go on to an exact join with the list, which removes the false
+positives: a hash join while the filter is not full, so that the list is at most ``KEYS`` keys for
+each block, and beyond that Spark's own choice, a merge join that spills. A longer list sends more
+URLs to the join, but results stay exact. All of it is DataFrame code.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripledger.llm.bloom import KEYS, MOST_BLOCKS, PROBES, blocks_for, bloom, maybe_listed
+from tripledger.staging import Staging
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BLOCKS = 1 << 16
-PROBES = 8
 PORTS = {"http": "80", "https": "443", "ftp": "21"}
 
 
@@ -47,39 +48,6 @@ def canonical(url: Column) -> Column:
         scheme, F.lit("://"), host, path, F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept))))
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
-def _words(key: Column, probes: int) -> Column:
-    """Eight 64-bit words with the key's bits set."""
-    bits = [F.pmod(F.xxhash64(F.lit(i), key), F.lit(512)).cast("int") for i in range(probes)]
-    at = F.array(*bits)
-    return F.transform(F.sequence(F.lit(0), F.lit(7)), lambda w: F.aggregate(
-        F.filter(at, lambda b: F.shiftright(b, 6) == w), F.lit(0).cast("long"),
-        lambda acc, b: acc.bitwiseOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), b.bitwiseAND(F.lit(63))))))
-
-
-def bloom(keys: DataFrame, blocks: int = BLOCKS, probes: int = PROBES) -> DataFrame:
-    """``block`` and its eight ``words`` for every block that holds a bit of column ``key``."""
-    rows = keys.select(_block(F.col("key"), blocks).alias("block"),
-                       _words(F.col("key"), probes).alias("w"))
-    return rows.groupBy("block").agg(F.array(
-        *[F.bit_or(F.col("w")[i]) for i in range(8)]).alias("words"))
-
-
-def maybe_listed(rows: DataFrame, filters: DataFrame, probes: int = PROBES,
-                 blocks: int = BLOCKS) -> DataFrame:
-    """``rows`` with ``maybe``: whether the filter holds all bits of column ``key``."""
-    rows = rows.withColumn("block", _block(F.col("key"), blocks))
-    own = _words(F.col("key"), probes)
-    inside = F.forall(F.zip_with(own, F.col("words"), lambda a, b: a.bitwiseAND(b) == a),
-                      lambda ok: ok)
-    return rows.join(F.broadcast(filters), "block", "left").withColumn(
-        "maybe", F.coalesce(inside & F.col("key").isNotNull(), F.lit(False))).drop("block", "words")
-
-
 def rule_for(host: Column, path: Column, rules: Iterable[tuple[str, str, str]]) -> Column:
     """The longest rule (host, path, verdict) that fits, as a struct ``rule``, ``verdict``.
 
@@ -92,22 +60,27 @@ def rule_for(host: Column, path: Column, rules: Iterable[tuple[str, str, str]])
     return F.array_max(F.filter(F.array(*fits), lambda r: r.isNotNull()))
 
 
-def judge(pages: DataFrame, listed: DataFrame, rules: Iterable[tuple[str, str, str]],
-          blocks: int = BLOCKS, probes: int = PROBES) -> DataFrame:
+def judge(pages: DataFrame, listed: DataFrame, rules: Iterable[tuple[str, str, str]], staging: Staging,
+          blocks: int | None = None, probes: int = PROBES) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``canonical`` and ``maybe``.
 
     ``listed`` has a column ``url``. The longest fitting rule decides; without one, a listed
     canonical URL is blocked and any other allowed. A null or odd url has empty host and path, is
-    never listed and so allowed. Repeated rows, on either side, change nothing for the others.
+    never listed and so allowed. Repeated rows, on either side, change nothing for the others. An
+    empty table of pages gives no rows. ``blocks`` fixes the filter's size.
     """
-    keys = listed.select(canonical(F.col("url")).alias("key")).where("key IS NOT NULL").distinct()
+    keys = staging.put(listed.select(canonical(F.col("url")).alias("key")).where("key IS NOT NULL").distinct(), "listed")
+    number = keys.count()
+    blocks = blocks or blocks_for(number)
     seen = pages.select("page_id", host_of(F.col("url")).alias("host"),
                         path_of(F.col("url")).alias("path"), canonical(F.col("url")).alias("key"))
     ruled = seen.withColumn("fit", rule_for(F.col("host"), F.col("path"), list(rules)))
-    open_ = maybe_listed(ruled, bloom(keys, blocks, probes), probes, blocks)
+    open_ = maybe_listed(ruled, staging.put(bloom(keys, blocks, probes), "bloom"), blocks, probes)
     asks = F.col("maybe") & F.col("fit").isNull()
-    hits = open_.where(asks).join(keys.withColumn("hit", F.lit(True)).hint("shuffle_hash"),
-                                  "key", "left")
+    own = keys.withColumn("hit", F.lit(True))
+    if number <= KEYS * MOST_BLOCKS:
+        own = own.hint("shuffle_hash")
+    hits = open_.where(asks).join(own, "key", "left")
     rest = open_.where(~asks).withColumn("hit", F.lit(None).cast("boolean"))
     return rest.unionByName(hits).select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"),

@@ -1,3 +1,5 @@
+import gzip
+import random
 import uuid
 
 import pytest
@@ -18,7 +20,9 @@ from tripledger.sources import (
     rows_to_table,
     write_version,
 )
+from tripledger.sources import delimited
 from tripledger.sources.delimited import ORIGIN
+from tripledger.sources.records import with_states
 from tripledger.staging import Staging
 
 EDGE = (
@@ -201,21 +205,81 @@ def test_skipped_records_are_counted(spark, tmp_path):
     assert len(rows.collect()) == 2 and skipped.get == {"longa": 2}
 
 
-def test_only_the_files_that_need_it_are_read_whole(spark, tmp_path, staging):
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for name in ("files.maxPartitionBytes", "files.openCostInBytes", "adaptive.coalescePartitions.enabled"):
+        spark.conf.unset(f"spark.sql.{name}")
+
+
+def numbered(spark, path, staging, **options):
+    rows = read_delimited(spark, path, with_origin=True, staging=staging, **options)
+    *chunk, row = ORIGIN
+    return rows, tuples(number_chunks(staging.put(rows, "rows"), "n", chunk, row, staging).orderBy("n"))
+
+
+def test_files_with_and_without_line_breaks_in_fields(spark, tmp_path, staging, small_splits):
     for k in range(4):
         body = "".join(f"{k}{i:04};{'x' * 40}\n" for i in range(2000))
         put(tmp_path / f"{k}.csv", "A;B\n" + (f'{k}first;"line\nbreak"\n' if k == 2 else "") + body)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        rows = read_delimited(spark, str(tmp_path), with_origin=True)
-        parts = rows.rdd.getNumPartitions()
-        *chunk, row = ORIGIN
-        got = tuples(number_chunks(staging.put(rows, "rows"), "n", chunk, row, staging).orderBy("n"))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert parts > 12  # three files in splits, one as a whole
+    rows, got = numbered(spark, str(tmp_path), staging)
+    assert rows.rdd.getNumPartitions() > 20
     want = [f"{k}{i:04}" for k in range(4) for i in range(2000)]
     want.insert(4000, "2first")
     assert [r[1] for r in got] == want and got[4000][2] == "line\nbreak"
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_one_file_with_line_breaks_is_read_in_many_tasks(spark, tmp_path, staging, small_splits, end):
+    """Fields with line breaks, quotes and separators, some longer than a split, all over the file."""
+    lines = ["", "A;B;C"]
+    for k in range(3000):
+        text = ("x" * 150, f"a{end}b", '""q"";' + end, end * 3, "y" * 25_000 + end + '""' if k % 997 == 0 else "z" * 60)[k % 5]
+        lines.append(f'{k:05};"{text}";{"" if k % 3 else chr(34) + "t" + chr(34)}')
+        if k % 50 == 0:
+            lines += ["", "  ", f"{k};1;2;3", f"{k:05}b"]
+    path = put(tmp_path / "a.csv", end.join(lines) + end)
+    rows, got = numbered(spark, path, staging)
+    assert rows.rdd.getNumPartitions() >= 8
+    scans = spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions()
+    assert scans > 8
+    as_one = [r[:3] for r in tuples(read_delimited(spark, path, multi_line=True)) if (r[0] or "").strip()]
+    assert len(got) == 3000 + 60  # Spark makes line feeds of other line ends when it reads a whole file
+    assert [tuple(x and x.replace("\r\n", "\n") for x in r[1:]) for r in got] == as_one
+    assert [r[0] for r in got] == list(range(1, len(got) + 1))
+    assert sum(end in (r[2] or "") for r in got) > 1000
+
+
+def test_carriage_returns_alone_are_left_to_the_reader(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'A;B\r1;"x\ry"\r2;z\r')
+    assert tuples(read_delimited(spark, path)) == tuples(read_delimited(spark, path, multi_line=True))
+
+
+def test_headers_are_read_without_the_rest_of_the_file(spark, tmp_path):
+    """The tail of the second file cannot be unpacked, which its first line does not need."""
+    draw = random.Random(1)
+    for name, cut in (("1", 0), ("2", 400_000)):
+        body = "A;B;;\n" + "".join(f"{draw.random()};{draw.random()};x;y\n" for _ in range(60_000))
+        packed = gzip.compress(body.encode())
+        (tmp_path / f"{name}.csv.gz").write_bytes(packed[:len(packed) - cut] if cut else packed)
+    files = [str(tmp_path / f"{k}.csv.gz") for k in "12"]
+    assert delimited.first_lines(spark, files) == ["A;B;;"] * 2
+    delimited._check_same_headers(spark, files)
+    with pytest.raises(Exception, match="EOF|Unexpected end"):
+        spark.read.text(files[1]).count()
+
+
+def test_states_against_a_plain_walk(spark):
+    rng = random.Random(3)
+    rows = [(g, k, rng.random() < 0.5, rng.random() < 0.5) for g in range(6) for k in range(rng.randrange(1, 30))]
+    df = spark.createDataFrame(rows, "g int, k int, shut boolean, still boolean")
+    got = {(r.g, r.k): (r.s0, r.s1) for r in with_states(df, ["g"], "k", "shut", "still").collect()}
+    for g in range(6):
+        for begin in (False, True):
+            state = begin
+            for _, k, shut, still in sorted(r for r in rows if r[0] == g):
+                assert got[g, k][begin] == state
+                state = still if state else shut

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripledger.operators.rollup import summary_over_children
 from tripledger.schemas import GOLD_TABLE, GOLD_VIEW
-from tripledger.sources.tables import replace_table, table_name
+from tripledger.sources.tables import current_versions, publish, table_name, write_version
 
 
 def gold_summary(trips: DataFrame, payments: DataFrame, segments: DataFrame,
@@ -21,11 +21,17 @@ def gold_summary(trips: DataFrame, payments: DataFrame, segments: DataFrame,
 
 def build_gold(spark: SparkSession, database: str | None = None,
                form: str = "as_written") -> DataFrame:
-    """Write the gold table from the silver tables, and the view over it."""
+    """Publish the gold table from the silver tables, and the view over it.
+
+    A build that fails leaves the previous table and view, and queries that read the previous
+    table can end. Of two builds at once one wins; the other raises ``PublishConflict``.
+    """
+    base = current_versions(spark, [GOLD_TABLE], database)
     trips, payments, segments = (
         spark.table(table_name(database, f"silver_{t}"))
         for t in ("viagem", "pagamento", "trecho"))
-    replace_table(gold_summary(trips, payments, segments, form), GOLD_TABLE, database)
+    version = write_version(gold_summary(trips, payments, segments, form), GOLD_TABLE, database)
+    publish(spark, {GOLD_TABLE: version}, database, base)
     gold = table_name(database, GOLD_TABLE)
     spark.sql(f"CREATE OR REPLACE VIEW {table_name(database, GOLD_VIEW)} AS SELECT * FROM {gold}")
     return spark.table(gold)

@@ -45,7 +45,7 @@ from tripledger.schemas import (
     SILVER,
     SILVER_LENGTHS,
 )
-from tripledger.sources.tables import discard, publish, table_name, write_version
+from tripledger.sources.tables import current_versions, discard, publish, table_name, write_version
 from tripledger.staging import Staging
 
 KEY = "id_viagem"
@@ -154,6 +154,8 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
     if ids not in ("dense", "ordinal"):
         raise ValueError(f"ids must be 'dense' or 'ordinal', not {ids!r}")
     versions: dict[str, str] = {}
+    base = current_versions(spark, [p + t for t in ("silver_viagem", *CHILDREN) for p in ("", "quarentena_", "orfaos_", "repetidas_")],
+                            database)
 
     def raw(table: str) -> DataFrame:
         return spark.table(table_name(database, raw_of(table)))
@@ -183,7 +185,7 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
             if stopped_by(error):
                 raise RuleViolation(table, detail=stopped_by(error)) from error
             raise
-        publish(spark, versions, database)
+        publish(spark, versions, database, base)
     return spark.createDataFrame(
         [(t, spark.table(table_name(database, t)).count()) for t in ("silver_viagem", *CHILDREN)],
         "tabela string, linhas long")

@@ -2,9 +2,13 @@
 
 from tripledger.sources.delimited import find_file, has_open_quotes, read_delimited
 from tripledger.sources.tables import (
+    PublishConflict,
     create_tables,
+    current_version,
+    current_versions,
     discard,
     publish,
+    release,
     replace_table,
     rows_to_table,
     table_name,
@@ -12,6 +16,6 @@ from tripledger.sources.tables import (
 )
 
 __all__ = [
-    "create_tables", "discard", "find_file", "has_open_quotes", "publish", "read_delimited",
-    "replace_table", "rows_to_table", "table_name", "write_version",
+    "PublishConflict", "create_tables", "current_version", "current_versions", "discard", "find_file",
+    "has_open_quotes", "publish", "read_delimited", "release", "replace_table", "rows_to_table", "table_name", "write_version",
 ]

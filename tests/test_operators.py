@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tripledger.operators import (
     RuleViolation,
+    absent_rows,
     add_dense_id,
     check,
     in_range,
     keep_first,
+    marked_parent,
     max_length,
     mean,
     non_negative,
@@ -294,3 +296,27 @@ def test_summary_joins_no_child_rows(spark):
     assert "Expand" not in plan
     # One shuffle for each input and one for the groups.
     assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_marked_children_are_those_with_a_parent_and_the_orphans(spark):
+    child = spark.createDataFrame([(n, k) for n, k in enumerate(["1", "2", None, "1", None, "9", "\x002"])], "n long, k string")
+    parent = spark.createDataFrame([("1",), ("9",), ("9",), (None,), ("\x002",)], "p string")
+    got = {r.n: r["_tem_pai"] for r in marked_parent(child, parent, "k", "n", "p").collect()}
+    assert got == {0: True, 1: False, 2: False, 3: True, 4: False, 5: True, 6: True}
+    assert sorted(n for n, has in got.items() if has) == sorted(r.n for r in with_parent(child, parent, "k", "p").collect())
+    plan = plan_of(marked_parent(child, parent, "k", "n", "p"))
+    assert plan.count("LeftOuter") == 1 and plan.count("Scan") == 2
+
+
+def test_rows_whose_key_is_not_stored(spark, tmp_path):
+    stored = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (50, "z", 0), (None, "n", 0)], "k int, s string, o int")
+    stored.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([(1, "a", 1), (1, "x", 2), (1, "x", 1), (3, "c", 4), (3, "c", 3), (None, "n", 1), (None, "n", 1)],
+                                  "k int, s string, o int")
+    with Staging(spark) as staging:
+        found = absent_rows(batch, stored, ["k", "s"], ["o"], staging)
+        assert sorted(map(str, found.collect())) == sorted(map(str, spark.createDataFrame(
+            [(1, "x", 1), (3, "c", 3), (None, "n", 1), (None, "n", 1)], batch.schema).collect()))
+        assert "GreaterThanOrEqual(k,1), LessThanOrEqual(k,3)" in plan_of(found)
+        assert absent_rows(batch.limit(0), stored, ["k", "s"], ["o"], staging).count() == 0

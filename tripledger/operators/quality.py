@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripledger.staging import Staging
+
 BROKEN = "regras_quebradas"
 STOPPED = "broken rules: "
 
@@ -159,6 +161,24 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return first(df.where(~free)).unionByName(df.where(free))
 
 
+def absent_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str], order: Sequence[str], staging: Staging,
+                row_id: str | None = None) -> DataFrame:
+    """The first row of ``batch`` in ``order`` for each key that ``stored`` does not hold, as an insert
+    that does nothing on a conflict leaves them. Rows with a NULL in their key are all kept.
+
+    Of the stored rows only those take part whose first key column lies between the least and the
+    greatest of the batch, which reaches the scan, and of these only the keys.
+    """
+    first = staging.put(keep_first(batch, keys, order, row_id=row_id), "batch")
+    low, high = first.agg(F.min(keys[0]), F.max(keys[0])).first()
+    if low is None:
+        return first
+    held = stored.where(F.col(keys[0]).between(F.lit(low), F.lit(high))).select(
+        *[F.col(k).alias(f"_tem_{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_tem_{i}") for i, k in enumerate(keys)])
+    return first.join(held, same, "left_anti")
+
+
 def unique_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their number of rows; NULLs are distinct."""
     return (df.where(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas"))

@@ -18,7 +18,7 @@ from tripledger.functions.parse import (
     sum_or_zero,
 )
 from tripledger.operators.numbering import add_dense_id
-from tripledger.operators.parents import orphans, with_parent
+from tripledger.operators.parents import HAS_PARENT, marked_parent, orphans, with_parent
 from tripledger.operators.quality import (
     BROKEN,
     Rule,
@@ -177,9 +177,13 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
             write(table, flagged(raw(table), table), staging)
             trips = spark.table(table_name(database, versions[table])).select(KEY)
             for table in CHILDREN:
-                write(table, flagged_child(raw(table), table, trips), staging)
-                if mode == "quarantine":
-                    put(f"orfaos_{table}", orphans(raw(table), trips, KEY, unique=True))
+                if mode == "fail":
+                    write(table, flagged_child(raw(table), table, trips), staging)
+                    continue
+                # One scan and one join of the children for all that becomes of them.
+                marked = staging.put(marked_parent(raw(table), trips, KEY, ORDINAL, unique=True), f"marked_{table}")
+                put(f"orfaos_{table}", marked.where(~F.col(HAS_PARENT)).drop(HAS_PARENT))
+                write(table, flagged(marked.where(HAS_PARENT).drop(HAS_PARENT), table), staging)
         except Exception as error:
             discard(spark, versions.values(), database)
             if stopped_by(error):

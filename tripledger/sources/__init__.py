@@ -7,6 +7,7 @@ from tripledger.sources.tables import (
     current_version,
     current_versions,
     discard,
+    insert_absent,
     publish,
     release,
     replace_table,
@@ -17,5 +18,5 @@ from tripledger.sources.tables import (
 
 __all__ = [
     "PublishConflict", "create_tables", "current_version", "current_versions", "discard", "find_file",
-    "has_open_quotes", "publish", "read_delimited", "release", "replace_table", "rows_to_table", "table_name", "write_version",
+    "has_open_quotes", "insert_absent", "publish", "read_delimited", "release", "replace_table", "rows_to_table", "table_name", "write_version",
 ]

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tripledger import functions as fn
 from tripledger import operators as op
 from tripledger.plans import gold, questions, report, silver
+from tripledger.sources import insert_absent, publish, write_version
 from tripledger.sources.delimited import ORIGIN, read_delimited
 from tripledger.staging import session_staging
 from tripledger.workload import files, roles
@@ -274,6 +275,35 @@ def loaded_gold(t):
     return t.spark.table(f"`{database}`.view_gold_resumo_executivo")
 
 
+@_query
+def loaded_questions(t):
+    """Questions answered from the silver tables that the loads left."""
+    database = files.layers(t.spark, t.folder)
+    trips, payments, segments = (t.spark.table(f"`{database}`.silver_{k}") for k in ("viagem", "pagamento", "trecho"))
+
+    def part(name: str, answer: DataFrame, key: str, value: str) -> DataFrame:
+        return answer.select(F.lit(name).alias("pergunta"), F.col(key).alias("nome"), F.col(value).cast("double").alias("valor"))
+    return reduce(DataFrame.unionByName, [
+        part("q01", questions.q01(trips), "orgao", "custo_total"),
+        part("q03", questions.q03(trips), "id_viagem", "duracao_dias"),
+        part("q04", questions.q04(payments), "tipo_pagamento", "volume_total_pago"),
+        part("q05", questions.q05(segments), "meio_transporte", "total_trechos"),
+        part("q07", questions.q07(trips), "orgao", "valor_consolidado")])
+
+
+@_query
+def inserted_rows(t):
+    """A table after two batches of line items, of which the second repeats keys of the first."""
+    database = files.layers(t.spark, t.folder)
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    rows = t.lineitem.select("l_orderkey", "l_returnflag", *order)
+    first = rows.where("l_suppkey % 2 = 0").withColumn("lote", F.lit(1))
+    publish(t.spark, {"itens": write_version(first.limit(0), "itens", database)}, database)
+    for batch in (first, rows.withColumn("lote", F.lit(2))):
+        insert_absent(batch, "itens", ["l_orderkey", "l_returnflag"], order, database)
+    return t.spark.table(f"`{database}`.itens")
+
+
 # ---- silver ----------------------------------------------------------------------------
 
 def _good(flagged: DataFrame, table: str) -> DataFrame:

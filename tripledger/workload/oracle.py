@@ -297,6 +297,22 @@ def _oracle_sql() -> dict[str, str]:
                 count(DISTINCT seg.raw_id) AS total_trechos_realizados
             FROM trip LEFT JOIN paid ON o_orderkey = paid.l_orderkey
             LEFT JOIN seg ON o_orderkey = seg.l_orderkey GROUP BY 1, 2""",
+        "loaded_questions": f"""
+            WITH {_LOADED}, body AS (SELECT n_name, sum(cents) AS cents FROM trip GROUP BY 1)
+            SELECT 'q01' AS pergunta, n_name AS nome, {_money('cents')} AS valor
+                FROM (SELECT * FROM body ORDER BY cents DESC, n_name LIMIT 5)
+            UNION ALL SELECT 'q03', id, CAST(days AS DOUBLE) FROM (
+                SELECT CAST(o_orderkey AS VARCHAR) AS id, days FROM trip
+                WHERE cents > 0 AND days IS NOT NULL ORDER BY days DESC, id LIMIT 1)
+            UNION ALL SELECT 'q04', l_returnflag, {_money('sum(c)')} FROM paid GROUP BY 2
+            UNION ALL SELECT 'q05', l_returnflag, CAST(count(*) AS DOUBLE) FROM seg GROUP BY 2
+            UNION ALL SELECT 'q07', n_name, {_money('cents')}
+                FROM (SELECT * FROM body ORDER BY cents DESC, n_name LIMIT 3)""",
+        "inserted_rows": """
+            SELECT l_orderkey, l_returnflag, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                   CAST(CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS lote FROM lineitem
+            QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY lote,
+                l_linenumber, l_partkey, l_suppkey, l_quantity) = 1""",
         "silver_trip": f"""
             WITH {_RAW_TRIPS} SELECT CAST(l_orderkey AS VARCHAR) AS id_viagem,
                 CAST(l_partkey AS VARCHAR) AS num_proposta, 'Realizada' AS situacao,

@@ -175,6 +175,17 @@ def where(path: str):
     return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
 
 
+_OWNER: list[str | None] = [None]
+
+
+def mapped_for(owner: str | None) -> None:
+    """Let go of the files of other owners. A worker process outlives its task, and what it has
+    mapped counts as its memory."""
+    if _OWNER[0] != owner:
+        load.cache_clear()
+        _OWNER[0] = owner
+
+
 @lru_cache(maxsize=4096)
 def load(path: str) -> dict[str, np.ndarray | EliasFano]:
     """Map a file. One that is not on a mounted file system is fetched to scratch space first."""

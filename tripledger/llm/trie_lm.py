@@ -31,13 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripledger.llm.common import full_text
-from tripledger.llm.eliasfano import EliasFano, load, save
+from tripledger.llm.eliasfano import EliasFano, load, mapped_for, save
 from tripledger.llm.tokens import VISIBLE, mixed, slices, words
 from tripledger.staging import Staging
 
 END = mixed(np.array([1], np.uint64))[0]
 STEP = 4096
-SLICE = 12 << 20
+SLICE = 4 << 20
 CODEC = "zstd"
 
 
@@ -90,6 +90,10 @@ class Vocabulary:
     size: int
     tokens: int
 
+    def begin(self) -> None:
+        """Called by every task that maps files of this model."""
+        mapped_for(next((p for p in self.paths if p), None))
+
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of hashes, which are in order; -1 for words that were not learned."""
         found = np.full(len(hashes), -1, np.int64)
@@ -256,6 +260,7 @@ def _ngrams(texts: DataFrame, vocabulary: Vocabulary, bounds: list[int]) -> Data
     edges = np.array([*bounds, vocabulary.size + 1], np.uint64) << np.uint64(32)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary.begin()
         for batch in batches:
             for _, _, data, rows in slices(batch.column("text"), SLICE):
                 seq, ends = sequence(*words(data, rows, VISIBLE), vocabulary.ids, vocabulary.size)
@@ -321,6 +326,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for k in range(batch.num_rows):
             yield batch.slice(k, 1).to_pylist()[0]
+            pa.default_memory_pool().release_unused()
 
 
 def _second(merged: DataFrame, vocabulary: Vocabulary, bounds: list[int], off: float, off3: float,
@@ -330,6 +336,7 @@ def _second(merged: DataFrame, vocabulary: Vocabulary, bounds: list[int], off: f
     ends = [*bounds[1:], vocabulary.size + 1]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary.begin()
         for r in _rows(batches):
             low, room = bounds[r["shard"]], ends[r["shard"]] - bounds[r["shard"]]
             keys, n = np.cumsum(_unpack(r["pairs"], r["n"], np.uint64)), _unpack(r["counts"], r["n"], np.int64)
@@ -360,6 +367,7 @@ def _third(merged: DataFrame, levels: Levels, room: int, off: float, staging: St
     folder = staging.path("third")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels.vocabulary.begin()
         for r in _rows(batches):
             keys = np.cumsum(_unpack(r["pairs"], r["n"], np.uint64))
             threes = np.cumsum(_unpack(r["threes"], r["m"], np.uint64))
@@ -379,7 +387,7 @@ def _third(merged: DataFrame, levels: Levels, room: int, off: float, staging: St
     return merged.select("shard", "n", "m", "pairs", "threes", "more").mapInArrow(write, "shard long, path string")
 
 
-def learn(docs: DataFrame, staging: Staging, shard_bytes: int = 12 << 20) -> Levels:
+def learn(docs: DataFrame, staging: Staging, shard_bytes: int = 6 << 20) -> Levels:
     """The model of all texts of ``docs``; a null text is an empty one (an end and nothing else)."""
     texts = docs.select(full_text().alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -417,6 +425,7 @@ def score(docs: DataFrame, levels: Levels) -> DataFrame:
     vocabulary = levels.vocabulary
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary.begin()
         for batch in batches:
             rows = batch.num_rows
             tokens, known = np.zeros(rows, np.int64), np.zeros(rows, np.int64)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripledger.llm import decontam, dedup, jaccard, langid, mixing, simhash
+from tripledger.llm import decontam, dedup, langid, mixing, simhash
 from tripledger.llm.common import stage, table
 
 
@@ -24,10 +24,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group, the smallest doc_id stays. Texts are linked at a 5-word Jaccard similarity of
-    0.8 or more, and by fingerprints of 4 words that differ in at most 4 bits."""
-    near = simhash.text_links(docs, stage(spark), width=4, radius=4)
-    return jaccard.drop_near_copies(docs, stage(spark), width=5, more=near)
+    """Of each group of texts that fingerprints of 4 words link, at up to 4 differing bits, the
+    smallest doc_id stays. Empty texts link like any other."""
+    return simhash.drop_near_copies(docs, stage(spark), width=4, radius=4)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

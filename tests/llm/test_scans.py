@@ -77,6 +77,36 @@ def test_what_lies_inside_a_detection_of_its_priority_is_dropped(spark):
     assert [(d.start, d.end, d.label) for d in r.detections] == [(0, 9, "gpl-3")]
 
 
+def test_the_earlier_of_two_rules_for_the_same_words_stays(spark, monkeypatch):
+    """Their labels are in the other order of the alphabet; a higher priority goes before the order."""
+    notices = [("zz", "alpha beta", "alpha", 0, 0.7), ("aa", "alpha beta", "alpha", 0, 0.9),
+               ("mm", "gamma delta", "gamma", 0, 0.7), ("nn", "gamma delta", "gamma", 1, 0.6)]
+    monkeypatch.setattr(licenses, "NOTICES", notices)
+    monkeypatch.setattr(licenses, "HINTS", ["alpha", "gamma"])
+    (r,) = licenses.scan(spark.createDataFrame([(1, "alpha beta, then gamma delta", "en", "a", 0)], SCHEMA)).collect()
+    assert [(d.start, d.end, d.label) for d in r.detections] == [(0, 2, "zz"), (3, 5, "nn")]
+
+
+SENTENCES = {
+    "mit": "The above copyright notice and this permission notice shall be included in all copies",
+    "bsd-3": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
+    "bsd-4": "All advertising materials mentioning features or use of this software must display",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "apache": "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+              'distributed on an "AS IS" BASIS',
+    "zlib": "Altered source versions must be plainly marked as such, and must not be misrepresented",
+    "cc0": "To the extent possible under law, the author has waived all copyright and related rights",
+}
+
+
+def test_sentences_of_the_licences_people_meet_most(spark):
+    docs = spark.createDataFrame([(k, f"text before {t}, text after", "en", "a", 0) for k, t in enumerate(SENTENCES.values())], SCHEMA)
+    found = {r.doc_id: r.labels for r in licenses.scan(docs).collect()}
+    for k, label in enumerate(SENTENCES):
+        assert label in found[k], (label, found[k])
+
+
 def test_there_are_hundreds_of_rules_and_hints_cover_them():
     found = licenses.rules()
     assert len(found) > 300

@@ -3,7 +3,8 @@
 A text becomes its words, one space between them. A rule has an expression over words, a keyword
 that the text must contain before the expression is tried, a priority and a confidence. Rules
 come from families (name, spellings, versions) and from general notices, in order. Of overlapping
-detections, one that lies inside another of at least its priority is dropped.
+detections, one that lies inside another of at least its priority is dropped; of two with the same
+words and priority, the one whose rule comes first stays.
 
 Rules are rows of an array literal, so the plan has the same size for any number of them, and a
 text without any keyword costs one scan.
@@ -97,6 +98,31 @@ NOTICES = [
     ("apache", "you may not use this file except in compliance with the license", "compliance with the license", 2, 0.9),
     ("gpl", "this program is free software you can redistribute it and or modify it", "free software you can", 2, 0.9),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered", 2, 0.95),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies",
+     "this permission notice", 2, 0.9),
+    ("mit-0", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+     "associated documentation files the software to deal in the software without restriction including without "
+     "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the "
+     "software and to permit persons to whom the software is furnished to do so the software is provided",
+     "hereby granted", 2, 0.95),
+    ("bsd-3", "neither the name of (?:[^ ]+ ){1,12}may be used to endorse or promote products", "neither the name", 2, 0.95),
+    ("bsd-4", "all advertising materials mentioning features or use of this software must", "advertising materials", 2, 0.95),
+    ("bsd", "redistributions of source code must retain the above copyright notice", "redistributions of source", 2, 0.9),
+    ("gpl", "the gnu general public license is a free copyleft license for software", "free copyleft license", 2, 0.95),
+    ("gpl", "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu "
+     "general public license", "see the gnu general", 2, 0.9),
+    ("lgpl", "this library is free software you can redistribute it and or modify it", "library is free software", 2, 0.9),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is "
+     "distributed on an as is basis", "unless required by applicable law", 2, 0.9),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license", "source code form", 2, 0.95),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license",
+     "accompanying materials", 2, 0.95),
+    ("boost", "boost software license version 1 0 august 17th 2003", "boost software license", 2, 0.95),
+    ("isc", "the software is provided as is and the author disclaims all warranties", "disclaims all warranties", 2, 0.9),
+    ("zlib", "altered source versions must be plainly marked as such", "altered source versions", 2, 0.95),
+    ("wtfpl", "you just do what the fuck you want to", "what the fuck", 2, 0.9),
+    ("cc0", "to the extent possible under law (?:[^ ]+ ){1,12}has waived all copyright", "waived all copyright", 2, 0.95),
+    ("cc", "this work is licensed under a creative commons", "creative commons", 1, 0.8),
     ("proprietary", "(?:proprietary and confidential|unauthorized (?:copying|reproduction|distribution) of this)",
      "proprietary and confidential|unauthorized ", 1, 0.7),
 ]
@@ -142,7 +168,14 @@ HINTS = ["licen", "reserved", " cc", "creative commons", "public domain", "copyr
          "tous droits", "los derechos", "hereby granted", "without fee", "source and binary", "provided as is",
          "free software you can", "unencumbered", "proprietary and", "unauthorized ", " gpl ", " lgpl ", " agpl ",
          " gfdl ", " asl ", " mpl ", " epl ", " eupl ", " cddl ", " wtfpl ", "want to public", " odbl ", " pddl ",
-         " sspl ", " busl ", " cecill "]
+         " sspl ", " busl ", " cecill ", "this permission notice", "neither the name", "advertising materials",
+         "redistributions of source", "see the gnu general", "library is free software",
+         "unless required by applicable law", "source code form", "accompanying materials",
+         "disclaims all warranties", "altered source versions", "what the fuck"]
+
+
+FOUND = ("array<struct<start:bigint,minus_end:bigint,minus_priority:int,rule:int,label:string,"
+         "confidence:double>>")
 
 
 def as_words(text: Column) -> Column:
@@ -169,8 +202,9 @@ def _keys() -> list[str]:
 def _detections(words: Column, present: Column) -> Column:
     """``present`` must be a column that is computed already: the rules ask for it one by one."""
     names = ("label", "pattern", "keys", "priority", "confidence")
-    table = F.from_json(F.lit(json.dumps([dict(zip(names, rule)) for rule in rules()])), (
-        "array<struct<label:string,pattern:string,keys:array<string>,priority:int,confidence:double>>"))
+    listed = [dict(zip(names, rule), number=k) for k, rule in enumerate(rules())]
+    table = F.from_json(F.lit(json.dumps(listed)), (
+        "array<struct<number:int,label:string,pattern:string,keys:array<string>,priority:int,confidence:double>>"))
     tried = F.when(F.size(present) > 0, F.filter(table, lambda r: F.arrays_overlap(r["keys"], present))).otherwise(
         F.slice(table, 1, 0))
 
@@ -186,16 +220,17 @@ def _detections(words: Column, present: Column) -> Column:
         x["rule"].alias("rule"), x["matches"].alias("matches"), _starts(x["matches"], x["pieces"]).alias("starts")))
     return F.flatten(F.transform(started, lambda x: F.zip_with(x["starts"], x["matches"], lambda s, m: F.struct(
         s.alias("start"), (-(s + _spaces(m) + 1)).alias("minus_end"),
-        (-x["rule"]["priority"]).alias("minus_priority"), x["rule"]["label"].alias("label"),
+        (-x["rule"]["priority"]).alias("minus_priority"), x["rule"]["number"].alias("rule"),
+        x["rule"]["label"].alias("label"),
         x["rule"]["confidence"].alias("confidence")))))
 
 
 def _uncovered(found: Column) -> Column:
-    """Drop what lies inside a detection of at least its priority. In order of start, longest and
-    highest first, that is one that ends beyond the furthest end of those priorities so far."""
-    kind = "array<struct<start:bigint,minus_end:bigint,minus_priority:int,label:string,confidence:double>>"
+    """Drop what lies inside a detection of at least its priority. In order of start, longest,
+    highest and earliest rule first, a detection stays if it ends beyond the furthest end of those
+    priorities so far."""
     none = F.lit(-1).cast("bigint")
-    start = F.struct(F.array().cast(kind).alias("kept"), F.array(none, none, none).alias("reach"))
+    start = F.struct(F.array().cast(FOUND).alias("kept"), F.array(none, none, none).alias("reach"))
 
     def step(acc: Column, d: Column) -> Column:
         end, priority = -d["minus_end"], -d["minus_priority"]
@@ -204,7 +239,7 @@ def _uncovered(found: Column) -> Column:
             F.when(covered, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d))).alias("kept"),
             F.transform(acc["reach"], lambda r, i: F.when(
                 i <= priority, F.greatest(r, end)).otherwise(r)).alias("reach"))
-    return F.aggregate(F.array_sort(found.cast(kind)), start, step, lambda acc: acc["kept"])
+    return F.aggregate(F.array_sort(found.cast(FOUND)), start, step, lambda acc: acc["kept"])
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -233,8 +268,7 @@ def scan(docs: DataFrame) -> DataFrame:
     labels = F.array_sort(F.array_distinct(F.transform(F.col("base"), lambda b: F.element_at(
         F.create_map(*[F.lit(x) for pair in PHRASES.items() for x in pair]), b))))
     last = F.col("n_words") - _spaces(F.element_at("pieces", -1)) - _spaces(F.element_at("base", -1))
-    found = F.coalesce("found", F.array().cast(
-        "array<struct<start:bigint,minus_end:bigint,minus_priority:int,label:string,confidence:double>>"))
+    found = F.coalesce("found", F.array().cast(FOUND))
     rows = rows.withColumn("base_labels", labels).withColumn("found", found)
     sure = F.transform("found", lambda d: d["confidence"])
     return rows.select(

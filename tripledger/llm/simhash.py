@@ -155,17 +155,6 @@ def links(fps: DataFrame, radius: int = 4, seed: int = 7) -> DataFrame:
     return ordered.mapInArrow(work, "a long, b long").distinct()
 
 
-def text_links(docs: DataFrame, staging: Staging, width: int = 4, radius: int = 4) -> DataFrame:
-    """Edges (a, b) between ``text_key`` that connect the texts whose fingerprints are linked."""
-    rows = staging.put(fingerprints(docs, width).select("text_key", "fp").distinct(), "fingerprints")
-    heads = rows.groupBy("fp").agg(F.min("text_key").alias("head"))
-    equal = rows.join(heads, "fp").where("text_key <> head").select(F.col("text_key").alias("a"), F.col("head").alias("b"))
-    far = links(rows, radius)
-    for side in ("a", "b"):
-        far = far.join(heads.withColumnRenamed("fp", side), side).drop(side).withColumnRenamed("head", side)
-    return equal.unionByName(far.where("a <> b"))
-
-
 def classes(docs: DataFrame, staging: Staging, width: int = 4, radius: int = 4) -> DataFrame:
     """``doc_id``, ``text_key``, ``fp``, ``component_id`` and ``keeper`` for every row.
 

@@ -17,6 +17,7 @@ from tripledger.operators.quality import (
     parsed,
     rule_summary,
     split_broken,
+    split_repeats,
     unique_key,
 )
 from tripledger.operators.ranking import ranked, share_of_total, mean, ratio
@@ -26,5 +27,5 @@ __all__ = [
     "Rule", "RuleViolation", "absent_rows", "add_dense_id", "check", "flag_broken", "guarded", "in_range",
     "keep_first", "marked_parent", "max_length", "mean", "non_negative", "not_null", "number_chunks", "orphans",
     "parsed", "ranked", "ratio", "rule_summary", "share_of_total", "split_broken",
-    "summary_over_children", "unique_key", "with_parent",
+    "split_repeats", "summary_over_children", "unique_key", "with_parent",
 ]

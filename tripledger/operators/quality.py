@@ -161,6 +161,25 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return first(df.where(~free)).unionByName(df.where(free))
 
 
+def split_repeats(df: DataFrame, keys: Sequence[str], row_id: str, staging: Staging,
+                  name: str = "ordem_mantida") -> tuple[DataFrame, DataFrame]:
+    """The first row in ``row_id`` for each key, and the rows that repeat one with the ``row_id`` of
+    the row that was kept for theirs as ``name``. Rows with a NULL in their key are all kept.
+
+    ``df`` is read several times, so stage it. Keys are counted with a partial sum in every task,
+    and only those that repeat are staged, so that Spark knows their size: it sends few to all
+    tasks, and joins by shuffle beyond that, where adaptive execution splits a key that very many
+    rows share. A window would bring all rows of such a key into one task.
+    """
+    first = df.where(~_any_null(keys)).groupBy(*keys).agg(F.min(row_id).alias(name), F.count(F.lit(1)).alias("_n"))
+    heads = staging.put(first.where("_n > 1").drop("_n"), "repeats")
+    keyed = df.where(~_any_null(keys))
+    again = F.col(row_id) > F.col(name)
+    kept = keyed.join(heads, list(keys), "left").where(F.coalesce(~again, F.lit(True))).select(*df.columns)
+    repeated = keyed.join(heads, list(keys)).where(again).select(*df.columns, name)
+    return kept.unionByName(df.where(_any_null(keys))), repeated
+
+
 def absent_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str], order: Sequence[str], staging: Staging,
                 row_id: str | None = None) -> DataFrame:
     """The first row of ``batch`` in ``order`` for each key that ``stored`` does not hold, as an insert

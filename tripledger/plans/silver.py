@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,7 @@ from tripledger.operators.quality import (
     parsed,
     rule_summary,
     split_broken,
+    split_repeats,
     stopped_by,
     unique_key,
 )
@@ -50,6 +51,8 @@ from tripledger.staging import Staging
 
 KEY = "id_viagem"
 CHILDREN = ("silver_pagamento", "silver_passagem", "silver_trecho")
+#: Table with the number of rows that break each rule, written by a load that quarantines.
+VIOLATIONS = "violacoes_silver"
 _TEXT = "_texto_"
 
 
@@ -98,8 +101,9 @@ def rules(table: str) -> list[Rule]:
 
 
 def flagged(raw: DataFrame, table: str, order: Sequence[str] = (ORDINAL,),
-            row_id: str | None = ORDINAL) -> DataFrame:
-    """Typed rows with the rules they break, reduced to the first good row per key.
+            row_id: str | None = ORDINAL, repeats: bool = False) -> DataFrame:
+    """Typed rows with the rules they break, reduced to the first good row per key unless
+    ``repeats`` are to stay.
 
     Rows that break a rule pass the reduction, so that each is stopped on or set aside.
     """
@@ -110,7 +114,7 @@ def flagged(raw: DataFrame, table: str, order: Sequence[str] = (ORDINAL,),
     fitted = {c: fit_length(c, n) for c, n in SILVER_LENGTHS[table].items()}
     rows = rows.select(*[fitted[c].alias(c) if c in fitted else c for c in columns],
                        *extra, BROKEN)
-    if table not in KEEP_FIRST_KEYS:
+    if repeats or table not in KEEP_FIRST_KEYS:
         return rows
     return keep_first(rows, KEEP_FIRST_KEYS[table], order,
                       bypass=F.size(BROKEN) > 0, row_id=row_id)
@@ -142,8 +146,10 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
 
     ``mode="fail"`` stops at a row that breaks a rule and leaves the previous tables;
     ``mode="quarantine"`` moves such rows to ``quarentena_<table>`` with the rules they break.
-    Child rows without a trip go to ``orfaos_<table>`` in that mode and are left out in both.
-    All of these tables change together at the end, and none if anything fails before.
+    Child rows without a trip go to ``orfaos_<table>`` in that mode and are left out in both, and
+    rows that repeat a key go to ``repetidas_<table>`` with the ordinal of the row that was kept.
+    ``violacoes_silver`` has the rows of each rule, those between rows included, counted from
+    these tables and not from the data again. All of these tables change together at the end, and none if anything fails before.
 
     ``ids="ordinal"`` numbers child rows by their position in the file, which is unique and in
     file order but skips the rows left out. ``ids="dense"`` numbers them 1..N, at the price of
@@ -154,8 +160,8 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
     if ids not in ("dense", "ordinal"):
         raise ValueError(f"ids must be 'dense' or 'ordinal', not {ids!r}")
     versions: dict[str, str] = {}
-    base = current_versions(spark, [p + t for t in ("silver_viagem", *CHILDREN) for p in ("", "quarentena_", "orfaos_", "repetidas_")],
-                            database)
+    names = [p + t for t in ("silver_viagem", *CHILDREN) for p in ("", "quarentena_", "orfaos_", "repetidas_")]
+    base = current_versions(spark, [*names, VIOLATIONS], database)
 
     def raw(table: str) -> DataFrame:
         return spark.table(table_name(database, raw_of(table)))
@@ -169,12 +175,15 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
         else:
             rows, bad = split_broken(staging.put(rows, table))
             put(f"quarentena_{table}", bad)
+            if table in KEEP_FIRST_KEYS:
+                rows, again = split_repeats(rows, KEEP_FIRST_KEYS[table], ORDINAL, staging)
+                put(f"repetidas_{table}", again)
         put(table, _finish(rows, table, ids, staging))
 
     with Staging(spark) as staging:
         try:
             table = "silver_viagem"
-            write(table, flagged(raw(table), table), staging)
+            write(table, flagged(raw(table), table, repeats=mode == "quarantine"), staging)
             trips = spark.table(table_name(database, versions[table])).select(KEY)
             for table in CHILDREN:
                 if mode == "fail":
@@ -183,7 +192,9 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
                 # One scan and one join of the children for all that becomes of them.
                 marked = staging.put(marked_parent(raw(table), trips, KEY, ORDINAL, unique=True), f"marked_{table}")
                 put(f"orfaos_{table}", marked.where(~F.col(HAS_PARENT)).drop(HAS_PARENT))
-                write(table, flagged(marked.where(HAS_PARENT).drop(HAS_PARENT), table), staging)
+                write(table, flagged(marked.where(HAS_PARENT).drop(HAS_PARENT), table, repeats=True), staging)
+            if mode == "quarantine":
+                put(VIOLATIONS, _violations(spark, {t: table_name(database, v) for t, v in versions.items()}))
         except Exception as error:
             discard(spark, versions.values(), database)
             if stopped_by(error):
@@ -195,6 +206,23 @@ def build_silver(spark: SparkSession, database: str | None = None, mode: str = "
         "tabela string, linhas long")
 
 
+def _violations(spark: SparkSession, stored: Mapping[str, str]) -> DataFrame:
+    """Rows for each rule of the four tables, zeros included, from the tables of rows set aside."""
+    listed, parts = [], []
+    for table in ("silver_viagem", *CHILDREN):
+        listed += [(table, r.name) for r in rules(table)]
+        parts.append(spark.table(stored[f"quarentena_{table}"]).select(
+            F.lit(table).alias("tabela"), F.explode(BROKEN).alias("regra")))
+        for rule, aside in ((f"unico:{'+'.join(KEEP_FIRST_KEYS.get(table, []))}", f"repetidas_{table}"),
+                            (f"existe:{KEY}", f"orfaos_{table}")):
+            if aside in stored:
+                listed.append((table, rule))
+                parts.append(spark.table(stored[aside]).select(F.lit(table).alias("tabela"), F.lit(rule).alias("regra")))
+    counts = reduce(DataFrame.unionByName, parts).groupBy("tabela", "regra").agg(F.count(F.lit(1)).alias("violacoes"))
+    return spark.createDataFrame(listed, "tabela string, regra string").join(counts, ["tabela", "regra"], "left").select(
+        "tabela", "regra", F.coalesce("violacoes", F.lit(0)).cast("long").alias("violacoes"))
+
+
 def silver_violations(raw: DataFrame, table: str, parents: DataFrame | None = None) -> DataFrame:
     """Rows per rule that a load of ``raw`` would stop on; orphans are not counted."""
     rows = typed(raw, table)

@@ -291,6 +291,21 @@ def loaded_questions(t):
         part("q07", questions.q07(trips), "orgao", "valor_consolidado")])
 
 
+@_query
+def loaded_violations(t):
+    """Rules that rows broke in the loads, between rows as well, of all four tables."""
+    database = files.layers(t.spark, t.folder)
+    return t.spark.table(f"`{database}`.{silver.VIOLATIONS}").where("violacoes > 0")
+
+
+@_query
+def loaded_repeats(t):
+    """Segments that repeat a key, each with the one that was kept."""
+    database = files.layers(t.spark, t.folder)
+    return t.spark.table(f"`{database}`.repetidas_silver_trecho").select(
+        "id_viagem", "sequencia_trecho", F.col(silver.ORDINAL).alias("ordem"), "ordem_mantida")
+
+
 @_query
 def inserted_rows(t):
     """A table after two batches of line items, of which the second repeats keys of the first."""

@@ -308,6 +308,25 @@ def _oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'q05', l_returnflag, CAST(count(*) AS DOUBLE) FROM seg GROUP BY 2
             UNION ALL SELECT 'q07', n_name, {_money('cents')}
                 FROM (SELECT * FROM body ORDER BY cents DESC, n_name LIMIT 3)""",
+        "loaded_violations": f"""
+            WITH {_LOADED}, lost AS (
+                SELECT * FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM trip))
+            SELECT * FROM (
+                SELECT 'silver_viagem' AS tabela, 'tamanho:viagem_urgente' AS regra, count(*) AS violacoes
+                    FROM orders WHERE o_orderpriority = '1-URGENT'
+                UNION ALL SELECT 'silver_passagem', 'nao_negativo:taxa_servico', count(*) FROM child
+                    WHERE l_linenumber = 1
+                UNION ALL SELECT 'silver_pagamento', 'existe:id_viagem',
+                    (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM paid)
+                UNION ALL SELECT 'silver_passagem', 'existe:id_viagem', count(*) FROM lost
+                UNION ALL SELECT 'silver_trecho', 'existe:id_viagem', count(*) FROM lost
+                UNION ALL SELECT 'silver_trecho', 'unico:id_viagem+sequencia_trecho',
+                    (SELECT count(*) FROM child) - (SELECT count(*) FROM seg)) WHERE violacoes > 0""",
+        "loaded_repeats": f"""
+            WITH {_LOADED} SELECT CAST(l_orderkey AS VARCHAR) AS id_viagem, l_linenumber AS sequencia_trecho,
+                raw_id AS ordem, kept AS ordem_mantida
+            FROM (SELECT *, min(raw_id) OVER (PARTITION BY l_orderkey, l_linenumber) AS kept
+                  FROM child WHERE l_linenumber <> 7) WHERE raw_id > kept""",
         "inserted_rows": """
             SELECT l_orderkey, l_returnflag, l_linenumber, l_partkey, l_suppkey, l_quantity,
                    CAST(CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS lote FROM lineitem

@@ -4,6 +4,7 @@ from tripledger.sources.delimited import find_file, has_open_quotes, read_delimi
 from tripledger.sources.tables import (
     PublishConflict,
     create_tables,
+    current_parts,
     current_version,
     current_versions,
     discard,
@@ -17,6 +18,6 @@ from tripledger.sources.tables import (
 )
 
 __all__ = [
-    "PublishConflict", "create_tables", "current_version", "current_versions", "discard", "find_file",
+    "PublishConflict", "create_tables", "current_parts", "current_version", "current_versions", "discard", "find_file",
     "has_open_quotes", "insert_absent", "publish", "read_delimited", "release", "replace_table", "rows_to_table", "table_name", "write_version",
 ]

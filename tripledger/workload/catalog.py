@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tripledger import functions as fn
 from tripledger import operators as op
 from tripledger.plans import gold, questions, report, silver
+from tripledger.plans.raw import file_ledger
 from tripledger.sources import insert_absent, publish, write_version
 from tripledger.sources.delimited import ORIGIN, read_delimited
 from tripledger.staging import session_staging
@@ -319,6 +320,30 @@ def inserted_rows(t):
     return t.spark.table(f"`{database}`.itens")
 
 
+@_query
+def appended_payments(t):
+    """Raw payments after two appends, the second over all files, of which it reads the new ones."""
+    database = files.appended(t.spark, t.folder)
+    return t.spark.table(f"`{database}`.raw_pagamento").select(
+        F.col(silver.ORDINAL).alias("ordem"), F.col("id_pagamento").cast("long").alias("id_pagamento"),
+        "id_viagem", "tipo_pagamento", fn.parse_decimal("valor").alias("valor"))
+
+
+@_query
+def load_report(t):
+    """What a load reports, with the rows of its list of files and the trips that are missing."""
+    database, loads = files.reported(t.spark, t.folder)
+
+    def count(rows: DataFrame, table: str, value, name: str) -> DataFrame:
+        return rows.agg(F.coalesce(value, F.lit(0)).alias(name)).withColumn("tabela", F.lit(table))
+    found = ("raw_pagamento", "raw_passagem", "raw_trecho")
+    listed = reduce(DataFrame.unionByName, [count(file_ledger(t.spark, k, database), k, F.sum("linhas"), "listadas")
+                                            for k in found])
+    missing = reduce(DataFrame.unionByName, [count(
+        t.spark.table(f"`{database}`.{k}"), k, F.count_if(F.col("id_viagem").isNull()), "sem_viagem") for k in found])
+    return loads.select("tabela", "linhas", "descartadas", "situacao").join(listed, "tabela").join(missing, "tabela")
+
+
 # ---- silver ----------------------------------------------------------------------------
 
 def _good(flagged: DataFrame, table: str) -> DataFrame:

@@ -327,6 +327,17 @@ def _oracle_sql() -> dict[str, str]:
                 raw_id AS ordem, kept AS ordem_mantida
             FROM (SELECT *, min(raw_id) OVER (PARTITION BY l_orderkey, l_linenumber) AS kept
                   FROM child WHERE l_linenumber <> 7) WHERE raw_id > kept""",
+        "appended_payments": f"""
+            WITH {_LOADED} SELECT raw_id AS ordem, raw_id AS id_pagamento,
+                CASE WHEN l_linenumber <> 2 THEN CAST(l_orderkey AS VARCHAR) END AS id_viagem,
+                l_returnflag AS tipo_pagamento, l_extendedprice AS valor FROM numbered""",
+        "load_report": """
+            SELECT 'raw_pagamento' AS tabela, n AS linhas, long AS descartadas, 'carregada' AS situacao,
+                   n AS listadas, lost AS sem_viagem
+            FROM (SELECT count(*) FILTER (l_linenumber <> 3) AS n, count(*) FILTER (l_linenumber = 3) AS long,
+                         count(*) FILTER (l_linenumber IN (2, 4)) AS lost FROM lineitem)
+            UNION ALL SELECT 'raw_passagem', 0, 0, 'ausente', 0, 0
+            UNION ALL SELECT 'raw_trecho', count(*), 0, 'carregada', count(*), 0 FROM nation""",
         "inserted_rows": """
             SELECT l_orderkey, l_returnflag, l_linenumber, l_partkey, l_suppkey, l_quantity,
                    CAST(CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS lote FROM lineitem

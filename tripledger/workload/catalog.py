@@ -351,59 +351,63 @@ def _good(flagged: DataFrame, table: str) -> DataFrame:
     return good.select(*[f.name for f in silver.SILVER[table].fields if f.name in good.columns])
 
 
-def _stored(raw: DataFrame) -> DataFrame:
-    """Raw text in a table, as a load leaves it: text is made once, however often it is read."""
-    return session_staging(raw.sparkSession).put(raw, "raw")
+class _Numbered(Tables):
+    """The tables with an ordinal for each line item. Line items are numbered before text is made of
+    them, so that sorting and staging handle the typed columns, and text is never stored."""
 
+    @property
+    def lineitem(self) -> DataFrame:
+        rows = self.spark.read.parquet(f"{self.folder}/lineitem.parquet").select("l_orderkey", *roles.LINE_ORDER)
+        return op.add_dense_id(rows, silver.ORDINAL, roles.LINE_ORDER, session_staging(self.spark))
 
-def _numbered(raw: DataFrame) -> DataFrame:
-    """Raw text in a table, with the ordinal of each row."""
-    return op.add_dense_id(_stored(raw), silver.ORDINAL, roles.LINE_ORDER,
-                           session_staging(raw.sparkSession)).drop(*roles.LINE_ORDER)
+
+def _numbered(t: Tables, make: Callable[..., DataFrame]) -> DataFrame:
+    """Raw text with the ordinal of each row."""
+    return make(_Numbered(t.spark, t.folder), silver.ORDINAL)
 
 
 @_query
 def silver_trip(t):
-    return _good(silver.flagged(_numbered(roles.raw_trips(t)), "silver_viagem"), "silver_viagem")
+    return _good(silver.flagged(_numbered(t, roles.raw_trips), "silver_viagem"), "silver_viagem")
 
 
 @_query
 def silver_trip_quarantine(t):
-    rows = silver.flagged(_numbered(roles.raw_trips(t)), "silver_viagem")
+    rows = silver.flagged(_numbered(t, roles.raw_trips), "silver_viagem")
     return op.split_broken(rows)[1].select("id_viagem", "num_proposta", "regras_quebradas")
 
 
 @_query
 def silver_payment(t):
-    return _good(silver.flagged_child(_stored(roles.raw_payments(t)), "silver_pagamento",
+    return _good(silver.flagged_child(roles.raw_payments(t), "silver_pagamento",
                                       roles.closed_orders(t), (), None), "silver_pagamento")
 
 
 @_query
 def silver_ticket(t):
-    return _good(silver.flagged_child(_stored(roles.raw_tickets(t)), "silver_passagem",
+    return _good(silver.flagged_child(roles.raw_tickets(t), "silver_passagem",
                                       roles.closed_orders(t), (), None), "silver_passagem")
 
 
 @_query
 def silver_segment(t):
-    return _good(silver.flagged_child(_numbered(roles.raw_segments(t)), "silver_trecho",
+    return _good(silver.flagged_child(_numbered(t, roles.raw_segments), "silver_trecho",
                                       roles.closed_orders(t)), "silver_trecho")
 
 
 @_query
 def silver_payment_violations(t):
-    return silver.silver_violations(_stored(roles.raw_payments(t)), "silver_pagamento",
+    return silver.silver_violations(roles.raw_payments(t), "silver_pagamento",
                                     roles.closed_orders(t))
 
 
 @_query
 def silver_relations(t):
     """Repeated keys and orphans of all four tables."""
-    parts = [silver.silver_relations(_stored(roles.raw_trips(t)), "silver_viagem")]
+    parts = [silver.silver_relations(roles.raw_trips(t), "silver_viagem")]
     for make, table in ((roles.raw_payments, "silver_pagamento"), (roles.raw_tickets, "silver_passagem"),
                         (roles.raw_segments, "silver_trecho")):
-        parts.append(silver.silver_relations(_stored(make(t)), table, roles.closed_orders(t)))
+        parts.append(silver.silver_relations(make(t), table, roles.closed_orders(t)))
     return reduce(DataFrame.unionByName, parts)
 
 

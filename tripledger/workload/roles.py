@@ -124,7 +124,7 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-def raw_trips(t: Tables) -> DataFrame:
+def raw_trips(t: Tables, *extra: str) -> DataFrame:
     """A trip record per line item, so that an order's records repeat its id."""
     line = F.col("l_linenumber")
     daily = money_text(F.col("l_extendedprice"))
@@ -143,7 +143,7 @@ def raw_trips(t: Tables) -> DataFrame:
             money_text(F.col("l_quantity"))),
         "valor_devolucao": money_text(F.col("l_discount")),
         "valor_outros_gastos": F.when(F.col("l_tax") == 0.08, F.lit("1,5x")),
-    }, *LINE_ORDER)
+    }, *extra)
 
 
 def closed_orders(t: Tables) -> DataFrame:
@@ -181,7 +181,7 @@ def raw_tickets(t: Tables) -> DataFrame:
     })
 
 
-def raw_segments(t: Tables) -> DataFrame:
+def raw_segments(t: Tables, *extra: str) -> DataFrame:
     line = F.col("l_linenumber")
     return _raw(t.lineitem, "raw_trecho", {
         "id_viagem": text("l_orderkey"),
@@ -191,4 +191,4 @@ def raw_segments(t: Tables) -> DataFrame:
         "destino_cidade": text("l_suppkey"),
         "meio_transporte": F.col("l_returnflag"),
         "numero_diarias": money_text(F.col("l_quantity")),
-    }, *LINE_ORDER)
+    }, *extra)

@@ -1,0 +1,40 @@
+"""What the queries on loaded tables write and load before they answer."""
+
+import datetime
+
+import pytest
+
+from tripledger.workload import catalog, files
+
+DAY = datetime.datetime(2025, 1, 2)
+
+
+@pytest.fixture
+def folder(spark, tmp_path, monkeypatch):
+    """Two orders with three line items and no other table: nothing but line items may be read."""
+    lines = [(0, 1, 10, 2, 5.0, 1234.5, "N"), (0, 2, 11, 3, 6.0, 10.0, "N"), (2, 1, 12, 2, 7.0, 0.5, "A")]
+    spark.createDataFrame([(*r, DAY) for r in lines], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, "
+                          "l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp"
+                          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for table in ("orders", "customer", "nation"):
+        spark.createDataFrame([], {
+            "orders": "o_orderkey long, o_custkey long, o_orderpriority string, o_orderdate timestamp, o_orderstatus string, o_totalprice double",
+            "customer": "c_custkey long, c_nationkey long, c_name string",
+            "nation": "n_nationkey long, n_name string"}[table]).write.parquet(str(tmp_path / f"{table}.parquet"))
+    monkeypatch.setattr(files, "build_silver", lambda *a, **b: pytest.fail("silver is built"))
+    monkeypatch.setattr(files, "load_raw", lambda *a, **b: pytest.fail("all files are loaded"))
+    yield str(tmp_path)
+    monkeypatch.undo()
+    files.close(spark)
+
+
+def test_inserted_rows_need_no_load(spark, folder):
+    rows = catalog.queries()["inserted_rows"](spark, folder).collect()
+    assert sorted((r.l_orderkey, r.l_returnflag, r.l_linenumber, r.lote) for r in rows) == [(0, "N", 1, 1), (2, "A", 1, 1)]
+
+
+def test_appended_payments_write_and_load_payments_only(spark, folder):
+    rows = catalog.queries()["appended_payments"](spark, folder).collect()
+    assert sorted((r.ordem, r.id_pagamento, r.id_viagem, float(r.valor)) for r in rows if r.id_viagem) == [
+        (1, 1, "0", 1234.5), (3, 3, "2", 0.5)]
+    assert len(rows) == 3

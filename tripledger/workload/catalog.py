@@ -310,7 +310,7 @@ def loaded_repeats(t):
 @_query
 def inserted_rows(t):
     """A table after two batches of line items, of which the second repeats keys of the first."""
-    database = files.layers(t.spark, t.folder)
+    database = files.new_database(t.spark)
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
     rows = t.lineitem.select("l_orderkey", "l_returnflag", *order)
     first = rows.where("l_suppkey % 2 = 0").withColumn("lote", F.lit(1))

@@ -17,13 +17,13 @@ from tripledger.staging import Staging
 _CHUNK, _ROW, _FIRST, _COUNT, _OFFSET = "_chunk", "_row", "_first", "_count", "_offset"
 
 
-def chunk_offsets(staged: DataFrame, chunk: Sequence[str], row: str, staging: Staging) -> DataFrame:
+def chunk_offsets(staged: DataFrame, chunk: Sequence[str], row: str, staging: Staging, counts: bool = True) -> DataFrame:
     """One row for each chunk of a table for ``number_chunks``, staged: the ``chunk`` columns, the first
-    ``row`` of the chunk, its rows (``_count``) and the rows of all chunks before it."""
+    ``row`` of the chunk, its rows (``_count``, with ``counts``) and the rows of all chunks before it."""
     sizes = staged.groupBy(*chunk).agg(F.min(row).alias(_FIRST), F.count(F.lit(1)).alias(_COUNT))
     before = Window.orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
-    return staging.put(sizes.select(
-        "*", F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_OFFSET)), "offsets")
+    placed = sizes.select("*", F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_OFFSET))
+    return staging.put(placed if counts else placed.drop(_COUNT), "offsets")
 
 
 def number_chunks(staged: DataFrame, name: str, chunk: Sequence[str], row: str,
@@ -35,7 +35,7 @@ def number_chunks(staged: DataFrame, name: str, chunk: Sequence[str], row: str,
     below ``spark.sql.autoBroadcastJoinThreshold`` and joins by shuffle beyond it.
     """
     if offsets is None:
-        offsets = chunk_offsets(staged, chunk, row, staging)
+        offsets = chunk_offsets(staged, chunk, row, staging, counts=False)
     number = F.col(row) - F.col(_FIRST) + F.col(_OFFSET) + F.lit(start)
     kept = [c for c in staged.columns if c not in (*chunk, row)]
     return staged.join(offsets, list(chunk)).select(number.cast("long").alias(name), *kept)

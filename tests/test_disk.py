@@ -3,8 +3,9 @@
 import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
-from trips import BAD, write_files
+from trips import BAD, GOOD, write_files
 
 from tripledger.plans import raw as raw_plan
 from tripledger.plans import silver as silver_plan
@@ -122,6 +123,14 @@ def test_what_is_staged_goes_when_its_table_is_written(spark, tmp_path, monkeypa
     assert not staged(spark, "part_")
 
 
+def test_tables_are_stored_dense(spark, tmp_path):
+    """A second load keeps the tables of the first for a day, so they count twice."""
+    load(spark, tmp_path, "disk3", GOOD)
+    found = [f for f in spark.table("disk3.raw_viagem").inputFiles()]
+    assert found and {pq.ParquetFile(f.removeprefix("file:").replace("//", "/")).metadata.row_group(0).column(0).compression
+                      for f in found} == {"ZSTD"}
+
+
 def test_the_files_of_the_shared_load_are_compressed(spark, tmp_path, monkeypatch):
     told = {}
     monkeypatch.setattr(files, "write_trip_files", lambda t, folder, **options: told.update(options) or dict.fromkeys(FILES, folder))

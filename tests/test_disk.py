@@ -7,8 +7,10 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from trips import BAD, GOOD, write_files
 
+from tripledger.plans import gold as gold_plan
 from tripledger.plans import raw as raw_plan
 from tripledger.plans import silver as silver_plan
+from tripledger.plans.gold import build_gold
 from tripledger.plans.raw import load_raw
 from tripledger.plans.silver import build_silver
 from tripledger.schemas import FILES
@@ -131,6 +133,15 @@ def test_tables_are_stored_dense(spark, tmp_path):
                       for f in found} == {"ZSTD"}
 
 
+def test_a_gold_build_leaves_no_shuffle(spark, tmp_path):
+    load(spark, tmp_path, "disk4", GOOD)
+    build_silver(spark, "disk4")
+    before = shuffles(spark)
+    build_gold(spark, "disk4")
+    assert not left(spark, before)
+    assert spark.table(f"disk4.{gold_plan.GOLD_TABLE}").count() > 0
+
+
 def test_the_files_of_the_shared_load_are_compressed(spark, tmp_path, monkeypatch):
     told = {}
     monkeypatch.setattr(files, "write_trip_files", lambda t, folder, **options: told.update(options) or dict.fromkeys(FILES, folder))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripledger.operators.rollup import summary_over_children
 from tripledger.schemas import GOLD_TABLE, GOLD_VIEW
 from tripledger.sources.tables import current_versions, publish, table_name, write_version
+from tripledger.staging import lean
 
 
 def gold_summary(trips: DataFrame, payments: DataFrame, segments: DataFrame,
@@ -30,7 +31,8 @@ def build_gold(spark: SparkSession, database: str | None = None,
     trips, payments, segments = (
         spark.table(table_name(database, f"silver_{t}"))
         for t in ("viagem", "pagamento", "trecho"))
-    version = write_version(gold_summary(trips, payments, segments, form), GOLD_TABLE, database)
+    with lean(spark):
+        version = write_version(gold_summary(trips, payments, segments, form), GOLD_TABLE, database)
     publish(spark, {GOLD_TABLE: version}, database, base)
     gold = table_name(database, GOLD_TABLE)
     spark.sql(f"CREATE OR REPLACE VIEW {table_name(database, GOLD_VIEW)} AS SELECT * FROM {gold}")
